@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference computes full-refresh tables from static inputs only: no
+watermarks, time windows, state or late data.  Nothing is built here; the
+feature tables are refreshed as batch jobs (``sources.tables.write_feature``).
+"""
