@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions import concepts as C
 from .operators import features as FE
 from .sources.proxy import load_proxy
 
@@ -32,7 +33,50 @@ def q_vitals_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(FE.vitals_hourly(t.icustays, t.chartevents))
 
 
+def q_labs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.labs_hourly(t.icustays, t.labevents))
+
+
+def q_labs_hourly_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.labs_hourly(t.icustays, t.labevents, min_hr=None, max_hr=None))
+
+
+def q_admission_labs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.admission_labs(t.icustays, t.labevents))
+
+
+def q_inputs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.inputs_hourly(t.icustays, t.inputevents_cv))
+
+
+def q_inputs_hourly_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.inputs_hourly(t.icustays, t.inputevents_cv, min_hr=None, max_hr=None, totals=False))
+
+
+def q_outputs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.outputs_hourly(t.icustays, t.outputevents))
+
+
+def q_outputs_hourly_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(FE.outputs_hourly(t.icustays, t.outputevents, urine_items=C.URINE_11, unit=None,
+                                           min_hr=None, max_hr=None))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "vitals_hourly": q_vitals_hourly,
+        "labs_hourly": q_labs_hourly,
+        "labs_hourly_uncapped": q_labs_hourly_uncapped,
+        "admission_labs": q_admission_labs,
+        "inputs_hourly": q_inputs_hourly,
+        "inputs_hourly_uncapped": q_inputs_hourly_uncapped,
+        "outputs_hourly": q_outputs_hourly,
+        "outputs_hourly_uncapped": q_outputs_hourly_uncapped,
     }
