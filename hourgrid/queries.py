@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 
 from .functions import concepts as C
 from .operators import features as FE
+from .operators import stays as ST
+from .operators.cohort import hourly_cohort
+from .operators.vent import vent_flag
+from .plans import summary as SU
 from .sources.proxy import load_proxy
 
 DIGITS = 6
@@ -69,8 +73,51 @@ def q_outputs_hourly_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            min_hr=None, max_hr=None))
 
 
+def q_hourly_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly_cohort(load_proxy(spark, sf_dir).icustays)
+
+
+def q_stay_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(ST.stay_demographics(t.icustays, t.admissions, t.patients))
+
+
+def q_stay_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return SU.stay_ranks(t.icustays, t.admissions, t.patients)
+
+
+def q_hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(SU.hourly_summary(
+        t.icustays, t.admissions, t.patients,
+        FE.vitals_hourly(t.icustays, t.chartevents),
+        FE.labs_hourly(t.icustays, t.labevents),
+        FE.inputs_hourly(t.icustays, t.inputevents_cv),
+        FE.outputs_hourly(t.icustays, t.outputevents)))
+
+
+def q_one_pass_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(SU.one_pass_summary(
+        t.icustays, t.admissions, t.patients,
+        FE.vitals_hourly(t.icustays, t.chartevents, min_hr=None, max_hr=None),
+        FE.labs_hourly(t.icustays, t.labevents, min_hr=None, max_hr=None)))
+
+
+def q_vent_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return vent_flag(t.ventdurations, t.icustays)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "hourly_cohort": q_hourly_cohort,
+        "stay_demographics": q_stay_demographics,
+        "stay_ranks": q_stay_ranks,
+        "hourly_summary": q_hourly_summary,
+        "one_pass_summary": q_one_pass_summary,
+        "vent_flag": q_vent_flag,
         "vitals_hourly": q_vitals_hourly,
         "labs_hourly": q_labs_hourly,
         "labs_hourly_uncapped": q_labs_hourly_uncapped,
