@@ -167,44 +167,50 @@ def lab_items() -> list[int]:
     return [i for r in LABS for i in r.items]
 
 
-def _in_range(v: Column, r: VitalRule) -> Column:
-    cond = v > F.lit(r.lo)
+def _sql_in(items) -> str:
+    return "(" + ", ".join(str(int(i)) for i in items) + ")"
+
+
+def _gate_sql(v: str, r: VitalRule) -> str:
+    cond = f"{v} > {float(r.lo)!r}"
     if r.hi is not None:
-        cond = cond & ((v <= F.lit(r.hi)) if r.hi_inclusive else (v < F.lit(r.hi)))
+        cond += f" AND {v} {'<=' if r.hi_inclusive else '<'} {float(r.hi)!r}"
     return cond
 
 
-def concept_code(item: Column, value: Column, rules: tuple[VitalRule, ...]) -> Column:
-    """Item + plausibility gate -> concept code; NULL when no branch fires."""
-    branches = [(item.isin(list(r.items)) & _in_range(value, r), F.lit(r.code)) for r in rules]
-    first_cond, first_val = branches[0]
-    expr = F.when(first_cond, first_val)
-    for cond, val in branches[1:]:
-        expr = expr.when(cond, val)
-    return expr
+# The builders below render one SQL expression per rule set and hand it to
+# the JVM in a single call: building the same CASE tree literal by literal
+# through the Python API costs thousands of gateway round trips per query.
+
+def concept_code(item: str, value: str, rules: tuple[VitalRule, ...]) -> Column:
+    """Item + plausibility gate -> concept code (int); NULL when no branch fires."""
+    branches = " ".join(f"WHEN {item} IN {_sql_in(r.items)} AND {_gate_sql(value, r)} THEN {r.code}"
+                        for r in rules)
+    return F.expr(f"CAST(CASE {branches} END AS INT)")
 
 
-def to_celsius(item: Column, value: Column) -> Column:
+def to_celsius(item: str, value: str) -> Column:
     """Fahrenheit items converted to Celsius; other values unchanged."""
-    return F.when(item.isin(list(FAHRENHEIT_ITEMS)), (value - F.lit(32)) / F.lit(1.8)).otherwise(value)
+    return F.expr(f"CASE WHEN {item} IN {_sql_in(FAHRENHEIT_ITEMS)} THEN ({value} - 32D) / 1.8D "
+                  f"ELSE {value} END")
 
 
-def lab_label(item: Column) -> Column:
+def lab_label(item: str) -> Column:
     """Lab item -> label text; NULL for unlisted items."""
-    expr = None
-    for r in LABS:
-        cond = item.isin(list(r.items))
-        expr = F.when(cond, F.lit(r.label)) if expr is None else expr.when(cond, F.lit(r.label))
-    return expr
+    branches = " ".join(f"WHEN {item} IN {_sql_in(r.items)} THEN '{r.label}'" for r in LABS)
+    return F.expr(f"CASE {branches} END")
 
 
-def null_implausible_lab(item: Column, value: Column) -> Column:
+def null_implausible_lab(item: str, value: str) -> Column:
     """Lab value above its item's limit -> NULL; the row itself is kept."""
-    expr = None
-    for r in LABS:
-        cond = item.isin(list(r.items)) & (value > F.lit(r.limit))
-        expr = F.when(cond, F.lit(None).cast("double")) if expr is None else expr.when(cond, F.lit(None).cast("double"))
-    return expr.otherwise(value)
+    branches = " ".join(f"WHEN {item} IN {_sql_in(r.items)} AND {value} > {float(r.limit)!r} "
+                        f"THEN CAST(NULL AS DOUBLE)" for r in LABS)
+    return F.expr(f"CASE {branches} ELSE {value} END")
+
+
+def item_in(item: str, items) -> Column:
+    """Membership test against a fixed item list."""
+    return F.expr(f"{item} IN {_sql_in(items)}")
 
 
 def pick_when(cond: Column, value: Column) -> Column:

@@ -48,7 +48,7 @@ def charted_vitals(icustays: DataFrame, chartevents: DataFrame,
     """
     items = C.vital_items(rules)
     ce = (chartevents
-          .where(F.col("itemid").isin(items) & ~F.col("error").eqNullSafe(1))
+          .where(C.item_in("itemid", items) & ~F.col("error").eqNullSafe(1))
           .select("icustay_id", "charttime", "itemid", "valuenum"))
     stay_cols = ["icustay_id", "intime"] + (["subject_id", "hadm_id"] if keep_keys else [])
     stays = icustays.select(*stay_cols)
@@ -58,13 +58,12 @@ def charted_vitals(icustays: DataFrame, chartevents: DataFrame,
     joined = join_dimension(
         ce, stays, "icustay_id",
         lambda: F.col("charttime").between(F.col("intime"), window_end(F.col("intime"), window_hours)))
-    item, val = F.col("itemid"), F.col("valuenum")
     keys = (["subject_id", "hadm_id"] if keep_keys else [])
     return joined.select(
         *keys, "icustay_id",
         hour_bin(F.col("intime"), F.col("charttime")).alias("hr"),
-        C.concept_code(item, val, rules).alias("code"),
-        C.to_celsius(item, val).alias("valuenum"))
+        C.concept_code("itemid", "valuenum", rules).alias("code"),
+        C.to_celsius("itemid", "valuenum").alias("valuenum"))
 
 
 def pivot_vitals(coded: DataFrame, rules: tuple[C.VitalRule, ...], group_cols: list[str]) -> DataFrame:
@@ -87,19 +86,18 @@ def coded_labs(icustays: DataFrame, labevents: DataFrame, *, keep_hadm: bool = F
     ``[intime, outtime]`` holds the lab time.  Values <= 0 or NULL are
     dropped; values above the item limit become NULL (row kept)."""
     le = (labevents
-          .where(F.col("itemid").isin(C.lab_items()) & F.col("valuenum").isNotNull()
+          .where(C.item_in("itemid", C.lab_items()) & F.col("valuenum").isNotNull()
                  & (F.col("valuenum") > F.lit(0)))
           .select("hadm_id", "charttime", "itemid", "valuenum"))
     stays = icustays.select("hadm_id", "icustay_id", "intime", "outtime")
     joined = join_dimension(
         le, stays, "hadm_id",
         lambda: (F.col("charttime") >= F.col("intime")) & (F.col("charttime") <= F.col("outtime")))
-    item, val = F.col("itemid"), F.col("valuenum")
     return joined.select(
         *(["hadm_id"] if keep_hadm else []), "icustay_id",
         hour_bin(F.col("intime"), F.col("charttime")).alias("hr"),
-        C.lab_label(item).alias("label"),
-        C.null_implausible_lab(item, val).alias("valuenum"))
+        C.lab_label("itemid").alias("label"),
+        C.null_implausible_lab("itemid", "valuenum").alias("valuenum"))
 
 
 def labs_hourly(icustays: DataFrame, labevents: DataFrame, *,
@@ -140,7 +138,7 @@ def inputs_hourly(icustays: DataFrame, inputevents_cv: DataFrame, *,
     """JOB-3 / JOB-3b: hourly fluid input sums by item set, plus the 'ml' total."""
     binned = _hour_window(_binned_events(icustays, inputevents_cv, ["itemid", "amount", "amountuom"]),
                           min_hr, max_hr)
-    aggs = [F.sum(F.when(F.col("itemid").isin(list(items)), F.col("amount"))).alias(name)
+    aggs = [F.sum(F.when(C.item_in("itemid", items), F.col("amount"))).alias(name)
             for name, items in C.INPUT_SETS]
     if totals:
         aggs.append(F.sum(F.when(F.col("amountuom") == F.lit(C.TOTAL_UNIT), F.col("amount"))).alias("in_total"))
@@ -158,5 +156,5 @@ def outputs_hourly(icustays: DataFrame, outputevents: DataFrame, *,
                           min_hr, max_hr)
     total = F.col("value") if unit is None else F.when(F.col("valueuom") == F.lit(unit), F.col("value"))
     return binned.groupBy("icustay_id", "hr").agg(
-        F.sum(F.when(F.col("itemid").isin(list(urine_items)), F.col("value"))).alias("out_urine"),
+        F.sum(F.when(C.item_in("itemid", urine_items), F.col("value"))).alias("out_urine"),
         F.sum(total).alias("out_total"))

@@ -21,6 +21,7 @@ from .operators import stays as ST
 from .operators.cohort import hourly_cohort
 from .operators.vent import vent_flag
 from .plans import summary as SU
+from .plans import variants as VA
 from .sources.proxy import load_proxy
 
 DIGITS = 6
@@ -110,8 +111,38 @@ def q_vent_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vent_flag(t.ventdurations, t.icustays)
 
 
+def q_vitals_with_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(VA.vitals_with_stay(t.icustays, t.chartevents, t.admissions, t.patients, limit=None))
+
+
+def q_vitals_with_stay_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(VA.vitals_with_stay(t.icustays, t.chartevents, t.admissions, t.patients, limit=100))
+
+
+def q_vitals_with_inout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(VA.vitals_with_inout(
+        t.icustays, t.chartevents, t.admissions, t.patients, t.inputevents_cv, t.outputevents,
+        FE.inputs_hourly(t.icustays, t.inputevents_cv, min_hr=None, max_hr=None, totals=False),
+        FE.outputs_hourly(t.icustays, t.outputevents, urine_items=C.URINE_11, unit=None,
+                          min_hr=None, max_hr=None)))
+
+
+def q_vitals_with_admission_labs_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_proxy(spark, sf_dir)
+    return round_doubles(VA.vitals_with_admission_labs(
+        t.icustays, t.chartevents, t.admissions, t.patients, FE.admission_labs(t.icustays, t.labevents),
+        limit=100))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "vitals_with_stay": q_vitals_with_stay,
+        "vitals_with_stay_top100": q_vitals_with_stay_top100,
+        "vitals_with_inout": q_vitals_with_inout,
+        "vitals_with_admission_labs_top100": q_vitals_with_admission_labs_top100,
         "hourly_cohort": q_hourly_cohort,
         "stay_demographics": q_stay_demographics,
         "stay_ranks": q_stay_ranks,

@@ -9,9 +9,9 @@ FIXTURES.md; the SQL twin used by the DuckDB oracle lives in
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ----------------------------------------------------------------------------
@@ -40,90 +40,90 @@ OUTPUT_ITEMS = (
 # ----------------------------------------------------------------------------
 
 
-def _cycle(event_id: Column, items: tuple[int, ...]) -> Column:
+def _cycle_sql(items: tuple[int, ...]) -> str:
     """items[event_id % len(items)] as int."""
-    arr = F.array(*[F.lit(i) for i in items])
-    return F.element_at(arr, (F.pmod(event_id, F.lit(len(items))) + 1).cast("int")).cast("int")
+    arr = "array(" + ", ".join(str(i) for i in items) + ")"
+    return f"CAST(element_at({arr}, CAST(pmod(event_id, {len(items)}) + 1 AS INT)) AS INT)"
 
 
-def _unit(event_id: Column) -> Column:
-    m = F.pmod(event_id, F.lit(5))
-    return F.when(m == 0, "mg").when(m == 1, "mL").otherwise("ml")
+def staged_events(events: DataFrame) -> DataFrame:
+    """events + subject / admission / stay keys (subject = user_id // 8, stay = subject x ISO week)."""
+    return events.selectExpr(
+        "CAST(FLOOR(user_id / 8) AS BIGINT) AS subject_id",
+        "CAST(FLOOR(user_id / 8) AS BIGINT) * 10 + CAST(FLOOR((weekofyear(ts) + 1) / 2) AS BIGINT) AS hadm_id",
+        "CAST(FLOOR(user_id / 8) AS BIGINT) * 10 + weekofyear(ts) AS icustay_id",
+        "event_id", "ts", "event_type", "value")
 
 
-@dataclass(frozen=True)
-class ClinicalTables:
-    icustays: DataFrame
-    admissions: DataFrame
-    patients: DataFrame
-    chartevents: DataFrame
-    labevents: DataFrame
-    inputevents_cv: DataFrame
-    outputevents: DataFrame
-    ventdurations: DataFrame
+def _unit_sql() -> str:
+    return "CASE pmod(event_id, 5) WHEN 0 THEN 'mg' WHEN 1 THEN 'mL' ELSE 'ml' END"
 
 
-def staged_events(events: DataFrame) -> DataFrame:
-    """events + subject / admission / stay keys (subject = user_id // 8, stay = subject x ISO week)."""
-    subject = F.floor(F.col("user_id") / F.lit(8)).cast("bigint")
-    wk = F.weekofyear("ts")
-    return events.select(
-        subject.alias("subject_id"),
-        (subject * 10 + F.floor((wk + 1) / F.lit(2)).cast("bigint")).alias("hadm_id"),
-        (subject * 10 + wk).alias("icustay_id"),
-        "event_id", "ts", "event_type", "value",
-    )
+class ClinicalTables:
+    """The eight base tables, each built on first use from the staged events."""
+
+    def __init__(self, events: DataFrame):
+        self._events = events
+
+    @cached_property
+    def ev(self) -> DataFrame:
+        return staged_events(self._events)
+
+    @cached_property
+    def icustays(self) -> DataFrame:
+        return (self.ev.groupBy("subject_id", "hadm_id", "icustay_id")
+                .agg(F.expr("CAST(min(ts) + INTERVAL '90' MINUTE AS TIMESTAMP_NTZ)").alias("intime"),
+                     F.expr("CAST(max(ts) - INTERVAL '90' MINUTE AS TIMESTAMP_NTZ)").alias("outtime")))
+
+    @cached_property
+    def admissions(self) -> DataFrame:
+        return (self.icustays.groupBy("subject_id", "hadm_id")
+                .agg(F.expr("CAST(min(intime) - INTERVAL '6' HOUR AS TIMESTAMP_NTZ)").alias("admittime"),
+                     F.expr("CAST(max(outtime) + INTERVAL '1' DAY AS TIMESTAMP_NTZ)").alias("dischtime"))
+                .selectExpr("subject_id", "hadm_id", "admittime", "dischtime",
+                            "CASE WHEN pmod(hadm_id, 3) = 0 THEN 'ELECTIVE' ELSE 'EMERGENCY' END AS admission_type",
+                            "CASE WHEN pmod(hadm_id, 2) = 0 THEN 'A' ELSE 'B' END AS ethnicity",
+                            "CAST(pmod(hadm_id, 5) = 0 AS INT) AS hospital_expire_flag"))
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return (self.icustays.select("subject_id").distinct()
+                .selectExpr("subject_id",
+                            "CASE WHEN pmod(subject_id, 2) = 0 THEN 'M' ELSE 'F' END AS gender",
+                            "CAST(date_add(DATE'1940-01-01', CAST(subject_id * 97 AS INT)) AS TIMESTAMP_NTZ) AS dob"))
+
+    @cached_property
+    def chartevents(self) -> DataFrame:
+        return self.ev.selectExpr(
+            "icustay_id", "ts AS charttime", f"{_cycle_sql(CHART_ITEMS)} AS itemid", "value AS valuenum",
+            "CASE WHEN pmod(event_id, 17) = 0 THEN 1 WHEN pmod(event_id, 17) < 9 THEN 0 END AS error")
+
+    @cached_property
+    def labevents(self) -> DataFrame:
+        return self.ev.selectExpr(
+            "hadm_id", "ts AS charttime", f"{_cycle_sql(LAB_ITEMS)} AS itemid",
+            "CASE WHEN pmod(event_id, 11) = 0 THEN CAST(NULL AS DOUBLE) WHEN pmod(event_id, 13) = 0 THEN -value "
+            "WHEN pmod(event_id, 5) = 0 THEN value * 3000 ELSE value END AS valuenum")
+
+    @cached_property
+    def inputevents_cv(self) -> DataFrame:
+        return self.ev.selectExpr(
+            "icustay_id", "ts AS charttime", f"{_cycle_sql(INPUT_ITEMS)} AS itemid", "value AS amount",
+            f"{_unit_sql()} AS amountuom")
+
+    @cached_property
+    def outputevents(self) -> DataFrame:
+        return self.ev.selectExpr(
+            "icustay_id", "ts AS charttime", f"{_cycle_sql(OUTPUT_ITEMS)} AS itemid", "value",
+            f"{_unit_sql()} AS valueuom")
+
+    @cached_property
+    def ventdurations(self) -> DataFrame:
+        return self.ev.where("event_type = 'signup'").selectExpr("icustay_id", "ts AS starttime")
 
 
 def proxy_tables(events: DataFrame) -> ClinicalTables:
-    ev = staged_events(events)
-    ntz = "timestamp_ntz"
-
-    icustays = (ev.groupBy("subject_id", "hadm_id", "icustay_id")
-                .agg((F.min("ts") + F.expr("INTERVAL '90' MINUTE")).cast(ntz).alias("intime"),
-                     (F.max("ts") - F.expr("INTERVAL '90' MINUTE")).cast(ntz).alias("outtime")))
-
-    admissions = (icustays.groupBy("subject_id", "hadm_id")
-                  .agg((F.min("intime") - F.expr("INTERVAL '6' HOUR")).cast(ntz).alias("admittime"),
-                       (F.max("outtime") + F.expr("INTERVAL '1' DAY")).cast(ntz).alias("dischtime"))
-                  .select("subject_id", "hadm_id", "admittime", "dischtime",
-                          F.when(F.pmod("hadm_id", F.lit(3)) == 0, "ELECTIVE").otherwise("EMERGENCY").alias("admission_type"),
-                          F.when(F.pmod("hadm_id", F.lit(2)) == 0, "A").otherwise("B").alias("ethnicity"),
-                          (F.pmod("hadm_id", F.lit(5)) == 0).cast("int").alias("hospital_expire_flag")))
-
-    patients = (icustays.select("subject_id").distinct()
-                .select("subject_id",
-                        F.when(F.pmod("subject_id", F.lit(2)) == 0, "M").otherwise("F").alias("gender"),
-                        F.date_add(F.lit("1940-01-01").cast("date"), (F.col("subject_id") * 97).cast("int"))
-                        .cast(ntz).alias("dob")))
-
-    eid = F.col("event_id")
-    m17 = F.pmod(eid, F.lit(17))
-    chartevents = ev.select(
-        "icustay_id", F.col("ts").alias("charttime"), _cycle(eid, CHART_ITEMS).alias("itemid"),
-        F.col("value").alias("valuenum"),
-        F.when(m17 == 0, 1).when(m17 < 9, 0).alias("error"))
-
-    labevents = ev.select(
-        "hadm_id", F.col("ts").alias("charttime"), _cycle(eid, LAB_ITEMS).alias("itemid"),
-        F.when(F.pmod(eid, F.lit(11)) == 0, F.lit(None).cast("double"))
-         .when(F.pmod(eid, F.lit(13)) == 0, -F.col("value"))
-         .when(F.pmod(eid, F.lit(5)) == 0, F.col("value") * 3000)
-         .otherwise(F.col("value")).alias("valuenum"))
-
-    inputevents_cv = ev.select(
-        "icustay_id", F.col("ts").alias("charttime"), _cycle(eid, INPUT_ITEMS).alias("itemid"),
-        F.col("value").alias("amount"), _unit(eid).alias("amountuom"))
-
-    outputevents = ev.select(
-        "icustay_id", F.col("ts").alias("charttime"), _cycle(eid, OUTPUT_ITEMS).alias("itemid"),
-        F.col("value").alias("value"), _unit(eid).alias("valueuom"))
-
-    ventdurations = ev.filter(F.col("event_type") == "signup").select(
-        "icustay_id", F.col("ts").alias("starttime"))
-
-    return ClinicalTables(icustays, admissions, patients, chartevents, labevents,
-                          inputevents_cv, outputevents, ventdurations)
+    return ClinicalTables(events)
 
 
 def load_proxy(spark: SparkSession, sf_dir: str) -> ClinicalTables:
