@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +25,20 @@ from ..operators.stays import stay_frame, with_stay_ranks
 VITALS_10_MIN = tuple(replace(r, agg="min") if r.name in ("spo2", "glucose") else r for r in C.VITALS_10)
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """Mark a small intermediate that the plan reads more than once.
+
+    Without it each branch re-derives the table from the event scan, because
+    column pruning makes the branches differ and Spark cannot share their
+    exchanges.  The tables marked here are (stay, hour) aggregates or a
+    bounded stay list; they are deterministic, so blocks lost with an
+    executor are recomputed from lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _vital_groups(icustays: DataFrame, chartevents: DataFrame, rules, max_icustay_id: int | None) -> DataFrame:
     coded = charted_vitals(icustays, chartevents, rules, max_icustay_id=max_icustay_id)
-    return pivot_vitals(coded, rules, ["icustay_id", "hr"])
+    return reused(pivot_vitals(coded, rules, ["icustay_id", "hr"]))
 
 
 def _result_stays(groups: DataFrame, icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
@@ -85,7 +97,10 @@ def vitals_with_inout(icustays: DataFrame, chartevents: DataFrame, admissions: D
     left-joined once.  Its join to the raw input table only tests existence:
     a left semi join against the distinct input stays (deduplicated map-side
     before any shuffle)."""
-    with_inputs = inputevents_cv.select("icustay_id").distinct()
+    inputs = reused(inputs)
+    # every input row of a result stay is in the (stay x input) aggregate, so
+    # its stay ids are exactly the stays with an input; no second input scan
+    with_inputs = inputs.select("icustay_id").distinct()
     rows = _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id,
                                   keep_stays=with_inputs)
     fin = inputs.select("icustay_id", "hr", *[n for n, _ in C.INPUT_SETS])
@@ -132,7 +147,7 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
     groups = _vital_groups(icustays, chartevents, rules, max_icustay_id)
     stays = _result_stays(groups, icustays, admissions, patients, age_digits=0)
     order = ["subject_id", "hadm_id", "icustay_id"]
-    first = stays.orderBy(*order).limit(limit)
+    first = reused(stays.orderBy(*order).limit(limit))
 
     lab_cols = list(C.ADMISSION_LAB_COLUMNS)
     distinct_labs = admission_labs.select("hadm_id", *lab_cols).distinct()
