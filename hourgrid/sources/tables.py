@@ -41,19 +41,20 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{path.rstrip('/')}/{name}")
 
 
-def write_feature(df: DataFrame, path: str, *, bucket_key: str | None = None,
+def write_feature(df: DataFrame, path: str, *, bucket_cols: tuple[str, ...] | None = None,
                   num_buckets: int | None = None, table: str | None = None) -> None:
     """Full refresh of a derived table (drop + create as select).
 
-    Plain Parquet by default.  With ``table`` and ``bucket_key`` the result is
-    saved as a bucketed, sorted table so later joins on the key (the summary's
-    four feature joins on ``icustay_id``) read co-located buckets instead of
-    shuffling.
+    Plain Parquet by default.  With ``table`` and ``bucket_cols`` the result is
+    saved as a bucketed, sorted Parquet table at ``path`` and registered under
+    ``table``, so later joins on exactly those columns (the summary's feature
+    joins on (icustay_id, hr)) read co-partitioned buckets instead of
+    shuffling the feature side.
     """
     writer = df.write.mode("overwrite")
-    if table is not None and bucket_key is not None:
+    if table is not None and bucket_cols:
         n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        (writer.bucketBy(n, bucket_key).sortBy(bucket_key)
+        (writer.format("parquet").bucketBy(n, *bucket_cols).sortBy(*bucket_cols)
          .option("path", path).saveAsTable(table))
     else:
         writer.parquet(path)

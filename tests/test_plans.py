@@ -131,3 +131,29 @@ def test_parquet_sink_round_trip_and_pushdown(spark, tmp_path):
     out = f"{base}/vitals_out"
     write_feature(vit, out)
     assert rows_of(spark.read.parquet(out)) == rows_of(vit)
+
+
+def test_refresh_then_summary_reads_buckets(spark, tmp_path):
+    from hourgrid.plans.refresh import refresh_features, summary_from_features
+    from hourgrid.plans.summary import hourly_summary
+
+    t = load_proxy(spark, SF_SMALL)
+    names = refresh_features(t.icustays, t.chartevents, t.labevents, t.inputevents_cv, t.outputevents,
+                             str(tmp_path), num_buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = summary_from_features(spark, t.icustays, t.admissions, t.patients, names)
+        plan = physical(stored)
+        inline = hourly_summary(t.icustays, t.admissions, t.patients, FE.vitals_hourly(t.icustays, t.chartevents),
+                                FE.labs_hourly(t.icustays, t.labevents),
+                                FE.inputs_hourly(t.icustays, t.inputevents_cv),
+                                FE.outputs_hourly(t.icustays, t.outputevents))
+        assert rows_of(round_doubles(stored)) == rows_of(round_doubles(inline))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the feature tables are bucketed on the join key: only the cohort side is shuffled for the joins
+    assert plan.count("Bucketed: true") >= 3
+    import re
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert all("co_hr" in k or "__blk" in k for k in keys), keys
+    assert plan.count("SortMergeJoin") == 4
