@@ -157,3 +157,41 @@ def test_refresh_then_summary_reads_buckets(spark, tmp_path):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert all("co_hr" in k or "__blk" in k for k in keys), keys
     assert plan.count("SortMergeJoin") == 4
+
+
+BOUNDED_SINGLE_PARTITION_INPUTS = ("HashAggregate(keys=[__blk", "LocalLimit", "TakeOrderedAndProject")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_single_partition_exchanges_only_over_bounded_inputs(spark, name):
+    """No row-level data is ever moved into one task: a SinglePartition
+    exchange may only sit over the per-block totals of the numbering or over
+    a limit."""
+    lines = physical(E.queries()[name](spark, SF_SMALL)).split("\n")
+    skip = ("WholeStageCodegen", "InputAdapter", "ColumnarToRow", "Project", "Filter", "Sort [", "HashAggregate(keys=[__blk], functions=[sum")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        child = next((nxt for nxt in lines[i + 1:] if not any(s in nxt for s in skip[:5])), "")
+        assert any(b in child for b in BOUNDED_SINGLE_PARTITION_INPUTS), (name, child[:200])
+
+
+def test_hot_key_rows_spread_over_tasks(spark):
+    conf = {"spark.hourgrid.rowsPerTask": "100", "spark.hourgrid.hotKeySampleFraction": "1.0",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # key 0 holds a third of all rows
+        big = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                          F.col("id").alias("v"))
+        small = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = join_dimension(big, small, "k", broadcast=False)
+        per_task = (joined.where("k = 0").groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(per_task) >= 8, per_task
+        assert max(r["count"] for r in per_task) <= 400
+        assert joined.count() == 3000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
