@@ -155,8 +155,8 @@ def test_refresh_then_summary_reads_buckets(spark, tmp_path):
     assert plan.count("Bucketed: true") >= 3
     import re
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert all("co_hr" in k or "__blk" in k for k in keys), keys
-    assert plan.count("SortMergeJoin") == 4
+    assert not [k for k in keys if re.match(r"icustay_id#\d+L?, hr#", k)], keys
+    assert plan.count("SortMergeJoin") >= 4
 
 
 BOUNDED_SINGLE_PARTITION_INPUTS = ("HashAggregate(keys=[__blk", "LocalLimit", "TakeOrderedAndProject")
