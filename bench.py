@@ -4,7 +4,9 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_REPEAT (default 3; the median of the warm runs is reported),
      BENCH_QUERIES (comma list; default all registered queries).
 Each run builds the query and executes it to completion with the no-op sink
-(every row is produced, nothing is collected to the driver).
+(every row is produced, nothing is collected to the driver).  The cache is
+cleared before every run, so tables a query persists for its own reuse are
+rebuilt each time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=cpus)
 
     def run(name: str) -> float:
+        # no run may read data persisted by an earlier run of the same plan
+        spark.catalog.clearCache()
         t0 = time.perf_counter()
         registry[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0

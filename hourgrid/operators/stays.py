@@ -37,19 +37,19 @@ def with_stay_ranks(stays: DataFrame, subject_col: str = "subject_id", hadm_col:
     stays."""
     w_hosp = Window.partitionBy(subject_col).orderBy(F.col("admittime").asc_nulls_last())
     w_icu = Window.partitionBy(hadm_col).orderBy(F.col("intime").asc_nulls_last())
-    return (stays
-            .withColumn("hospstay_seq", F.dense_rank().over(w_hosp).cast("bigint"))
-            .withColumn("first_hosp_stay", first_flag(F.col("hospstay_seq")))
-            .withColumn("icustay_seq", F.dense_rank().over(w_icu).cast("bigint"))
-            .withColumn("first_icu_stay", first_flag(F.col("icustay_seq"))))
+    hosp = F.dense_rank().over(w_hosp).cast("bigint")
+    icu = F.dense_rank().over(w_icu).cast("bigint")
+    return (stays.withColumns({"hospstay_seq": hosp, "icustay_seq": icu})
+            .withColumns({"first_hosp_stay": first_flag(F.col("hospstay_seq")),
+                          "first_icu_stay": first_flag(F.col("icustay_seq"))}))
 
 
 def demographics(stays: DataFrame, *, age_at: str = "intime", age_digits: int = 4) -> DataFrame:
     """Adds age (years at ``age_at``), hospital_los, icu_los (days, 4 decimals)."""
-    return (stays
-            .withColumn("age", age_years(F.col("dob"), F.col(age_at), age_digits))
-            .withColumn("hospital_los", los_days(F.col("admittime"), F.col("dischtime")))
-            .withColumn("icu_los", los_days(F.col("intime"), F.col("outtime"))))
+    return stays.withColumns({
+        "age": age_years(F.col("dob"), F.col(age_at), age_digits),
+        "hospital_los": los_days(F.col("admittime"), F.col("dischtime")),
+        "icu_los": los_days(F.col("intime"), F.col("outtime"))})
 
 
 DEMOGRAPHIC_COLUMNS = (

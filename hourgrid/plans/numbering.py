@@ -35,7 +35,7 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, o
                             .cast("bigint").alias("__blk_offset"))
     inside = (Window.partitionBy("__blk").orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
               .rowsBetween(Window.unboundedPreceding, -1))
-    return (blocked.join(F.broadcast(offsets), "__blk")
-            .withColumn(out_col, F.col("__blk_offset")
-                        + F.coalesce(F.sum(value_col).over(inside), F.lit(0)).cast("bigint"))
-            .drop("__blk", "__blk_offset"))
+    joined = blocked.join(F.broadcast(offsets), "__blk")
+    keep = [c for c in joined.columns if c not in ("__blk", "__blk_offset")]
+    return joined.select(*keep, (F.col("__blk_offset") + F.coalesce(F.sum(value_col).over(inside), F.lit(0))
+                                 .cast("bigint")).alias(out_col))

@@ -44,19 +44,19 @@ def numbered_spine(stays: DataFrame, vitals: DataFrame) -> DataFrame:
     """Stay rows -> cohort rows with ``co_hr`` (cohort hour), ``hr`` (the vitals
     hour: ``co_hr`` when the stay has vitals in that hour, else NULL) and ``rn``."""
     vh = vitals.groupBy("icustay_id").agg(F.array_sort(F.collect_list("hr")).alias("__vh"))
-    st = stays.join(vh, "icustay_id", "left")
-    st = st.withColumn("__vh", F.filter(F.coalesce(F.col("__vh"), F.array().cast("array<int>")),
-                                        lambda h: (h >= 0) & (h <= F.col("n_hours"))))
-    st = st.withColumn("__unmatched", (F.col("n_hours") + 1 - F.size("__vh")).cast("bigint"))
+    hours = F.filter(F.coalesce(F.col("__vh"), F.array().cast("array<int>")),
+                     lambda h: (h >= 0) & (h <= F.col("n_hours")))
+    st = (stays.join(vh, "icustay_id", "left").withColumn("__vh", hours)
+          .withColumn("__unmatched", (F.col("n_hours") + 1 - F.size("__vh")).cast("bigint")))
     st = exclusive_prefix_sum(st, ORDER, "__unmatched", "__offset")
     spine = st.withColumn("co_hr", F.explode(F.sequence(F.lit(0), F.col("n_hours"))))
     before = F.size(F.filter("__vh", lambda h: h < F.col("co_hr")))
     matched = F.array_contains(F.col("__vh"), F.col("co_hr"))
-    return (spine
-            .withColumn("hr", F.when(matched, F.col("co_hr")))
-            .withColumn("rn", F.when(matched, before + 1)
-                        .otherwise(F.col("__offset") + F.col("co_hr") - before + 1).cast("bigint"))
-            .drop("__vh", "__unmatched", "__offset"))
+    keep = [c for c in spine.columns if c not in ("__vh", "__unmatched", "__offset")]
+    return spine.select(
+        *keep, F.when(matched, F.col("co_hr")).alias("hr"),
+        F.when(matched, before + 1).otherwise(F.col("__offset") + F.col("co_hr") - before + 1)
+        .cast("bigint").alias("rn"))
 
 
 def attach(spine: DataFrame, feature: DataFrame, cols: list[str], rename: dict | None = None) -> DataFrame:

@@ -46,10 +46,10 @@ def _result_stays(groups: DataFrame, icustays: DataFrame, admissions: DataFrame,
     """Stay attributes and ranks for the stays present in ``groups``."""
     present = groups.select("icustay_id").distinct()
     st = stay_frame(icustays, admissions, patients).join(present, "icustay_id", "left_semi")
-    return (with_stay_ranks(st)
-            .withColumn("los_hospital", los_days(F.col("admittime"), F.col("dischtime")))
-            .withColumn("age", age_years(F.col("dob"), F.col("admittime"), age_digits))
-            .withColumn("los_icu", los_days(F.col("intime"), F.col("outtime"))))
+    return with_stay_ranks(st).withColumns({
+        "los_hospital": los_days(F.col("admittime"), F.col("dischtime")),
+        "age": age_years(F.col("dob"), F.col("admittime"), age_digits),
+        "los_icu": los_days(F.col("intime"), F.col("outtime"))})
 
 
 def _with_rn(rows: DataFrame) -> DataFrame:
