@@ -2,14 +2,13 @@
 
 Everything in the "FIXED VALUES" block must equal the reference's item codes,
 ranges, labels and limits, otherwise results differ.  The builders below turn
-the dictionaries into plain ``when`` chains / ``isin`` predicates so that the
-work stays inside Catalyst's generated code (no UDFs).
+the dictionaries into CASE expressions and IN-list predicates, so the work
+stays inside Catalyst's generated code (no UDFs).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -211,12 +210,3 @@ def null_implausible_lab(item: str, value: str) -> Column:
 def item_in(item: str, items) -> Column:
     """Membership test against a fixed item list."""
     return F.expr(f"{item} IN {_sql_in(items)}")
-
-
-def pick_when(cond: Column, value: Column) -> Column:
-    """The measure when the condition holds, else NULL (a split/pivot cell)."""
-    return F.when(cond, value)
-
-
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)

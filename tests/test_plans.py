@@ -195,3 +195,11 @@ def test_hot_key_rows_spread_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_admission_lab_topk_is_limited_before_the_shuffle(spark):
+    """The per-admission top-k of lab rows is cut map-side (partial
+    WindowGroupLimit before the exchange), so a hot admission never moves
+    more than ``limit`` rows per task."""
+    plan = physical(E.queries()["vitals_with_admission_labs_top100"](spark, SF_SMALL))
+    assert plan.count("WindowGroupLimit") == 2
