@@ -12,7 +12,8 @@ range as residual predicate.  Two physical shapes are used:
 2. **Salted shuffle join** otherwise.  A sample of the event side's key
    column finds hot keys (keys estimated to hold more than
    ``spark.hourgrid.rowsPerTask`` rows).  Rows of a hot key get a salt in
-   ``[0, n_k)`` with ``n_k`` proportional to the key's size, and the stay
+   ``[0, n_k)`` (a hash of the row) with ``n_k`` proportional to the key's
+   size, and the stay
    rows of that key are replicated ``n_k`` times; every other key uses salt 0.
    The join then runs on ``(key, salt)`` so no task receives more than about
    ``rowsPerTask`` event rows of one key.  The hot-key list is collected to
@@ -119,7 +120,10 @@ def join_dimension(
 
     salt_of = F.create_map(*[x for k, n in hot.items() for x in (F.lit(k), F.lit(n))])
     n_big = F.coalesce(F.element_at(salt_of, F.col(key)), F.lit(1))
-    salted_big = big.withColumn("__salt", F.floor(F.rand(29) * n_big).cast("int"))
+    # The salt is a pure function of the row (a content hash), so a retried
+    # map task sends every row to the same reducer as the first attempt.
+    # Exact duplicate rows share a salt; every other row of a hot key spreads.
+    salted_big = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), n_big.cast("bigint")).cast("int"))
     n_small = F.coalesce(F.element_at(salt_of, F.col(rkey)), F.lit(1))
     salted_small = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), (n_small - 1).cast("int"))))
     cond = (F.col(key) == F.col(rkey)) & (F.col("__salt") == F.col("__salt_r"))
