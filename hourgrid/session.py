@@ -28,6 +28,33 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, *, target_partition_bytes: int = 256 << 20,
+                 executor_cores: int = 4, executors: int = 1000) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    ``largest_shuffle_bytes`` is the size of the biggest exchange, which is
+    the pruned, item-filtered event side of a stay join when the stay table
+    is too large to broadcast (a fraction of the raw event bytes).  The
+    initial shuffle width gives each reduce partition about
+    ``target_partition_bytes`` of it, and never fewer than two waves of the
+    cluster's cores.  AQE then coalesces the small per-hour aggregates and
+    splits skewed join partitions.  Scan splits are 128 MB, so a task reads a
+    bounded slice of any one file.
+    """
+    cores = executor_cores * executors
+    partitions = max(2 * cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        **{k: v for k, v in RECOMMENDED_CONF.items() if not k.startswith("spark.ui.")},
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.hourgrid.broadcastMaxBytes": str(64 << 20),
+    }
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hourgrid",
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -173,3 +173,14 @@ def test_summary_numbering_and_hour(spark):
                    (101, 0, 1, 70.0), (101, None, 3, None),
                    (200, None, 4, None), (200, None, 5, None), (200, None, 6, None)]
     assert len(out.columns) == 63
+
+
+def test_hour_bin_is_wall_clock_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 0), dt.datetime(2024, 3, 10, 3, 0))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(hour_bin(F.col("a"), F.col("b"))).first()[0] == 2   # clocks skip 02:00 here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
