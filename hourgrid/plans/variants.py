@@ -150,7 +150,8 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
     first = reused(stays.orderBy(*order).limit(limit))
 
     lab_cols = list(C.ADMISSION_LAB_COLUMNS)
-    distinct_labs = admission_labs.select("hadm_id", *lab_cols).distinct()
+    # read twice (exact counts, per-admission top-k): computed once
+    distinct_labs = reused(admission_labs.select("hadm_id", *lab_cols).distinct())
     lab_count = distinct_labs.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("__nlab"))
     first_adm = first.select("hadm_id").distinct()
     lab_order = Window.partitionBy("hadm_id").orderBy(*[F.col(c).asc_nulls_last() for c in lab_cols])
