@@ -36,7 +36,10 @@ DEFAULTS = {
     "rowsPerTask": 20_000_000,
     "hotKeySampleFraction": 0.01,
     "maxHotKeys": 2_000,
-    "maxSaltPerKey": 4_096,
+    # A key holding a third of 100 TB needs ~65k salts to reach ~500 MB per
+    # task.  Replication stays bounded: the salts over all hot keys add up to
+    # about (hot rows / rowsPerTask), and each salt copies one key's stay rows.
+    "maxSaltPerKey": 65_536,
 }
 
 
