@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 CONF_PREFIX = "spark.hourgrid."
 DEFAULTS = {
     "broadcastMaxBytes": 64 * 1024 * 1024,
-    "rowsPerTask": 20_000_000,
+    "rowsPerTask": 5_000_000,
     "hotKeySampleFraction": 0.01,
     "maxHotKeys": 2_000,
     # A key holding a third of 100 TB needs ~65k salts to reach ~500 MB per
