@@ -7,11 +7,12 @@ that reach a result equals ranking that result's hourly rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timebin import age_years, los_days
 from ..plans.joins import join_dimension
+from ..plans.ranking import with_dense_ranks
 
 
 def stay_frame(icustays: DataFrame, admissions: DataFrame, patients: DataFrame) -> DataFrame:
@@ -33,15 +34,13 @@ def first_flag(rank: Column) -> Column:
 def with_stay_ranks(stays: DataFrame, subject_col: str = "subject_id", hadm_col: str = "hadm_id") -> DataFrame:
     """hospstay_seq / first_hosp_stay (dense rank of admittime per subject) and
     icustay_seq / first_icu_stay (dense rank of intime per admission); NULL
-    times sort last.  Window partitions hold one patient's / one admission's
-    stays."""
-    w_hosp = Window.partitionBy(subject_col).orderBy(F.col("admittime").asc_nulls_last())
-    w_icu = Window.partitionBy(hadm_col).orderBy(F.col("intime").asc_nulls_last())
-    hosp = F.dense_rank().over(w_hosp).cast("bigint")
-    icu = F.dense_rank().over(w_icu).cast("bigint")
-    return (stays.withColumns({"hospstay_seq": hosp, "icustay_seq": icu})
-            .withColumns({"first_hosp_stay": first_flag(F.col("hospstay_seq")),
-                          "first_icu_stay": first_flag(F.col("icustay_seq"))}))
+    times sort last.  The largest patient / admission is measured first: a
+    window when it fits one task, else position arithmetic over a distributed
+    prefix sum (``plans.ranking``)."""
+    ranked = with_dense_ranks(stays, [(subject_col, "admittime", "hospstay_seq"),
+                                      (hadm_col, "intime", "icustay_seq")])
+    return ranked.withColumns({"first_hosp_stay": first_flag(F.col("hospstay_seq")),
+                               "first_icu_stay": first_flag(F.col("icustay_seq"))})
 
 
 def demographics(stays: DataFrame, *, age_at: str = "intime", age_digits: int = 4) -> DataFrame:

@@ -40,6 +40,8 @@ DEFAULTS = {
     # task.  Replication stays bounded: the salts over all hot keys add up to
     # about (hot rows / rowsPerTask), and each salt copies one key's stay rows.
     "maxSaltPerKey": 65_536,
+    # largest group a window partition may hold (one task); see plans.ranking
+    "maxWindowRows": 2_000_000,
 }
 
 

@@ -184,3 +184,20 @@ def test_hour_bin_is_wall_clock_in_any_session_zone(spark):
         assert df.select(hour_bin(F.col("a"), F.col("b"))).first()[0] == 2   # clocks skip 02:00 here
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dense_ranks_by_positions_equal_window(spark):
+    """The large-group path (forced with a zero window limit) gives the same
+    ranks as the window, including ties and NULLs."""
+    from hourgrid.plans.ranking import largest_groups, with_dense_ranks
+    df = spark.createDataFrame(
+        [(g, (i * 7) % 5 if i % 6 else None, i) for g in (1, 2, 3) for i in range(g * 9)],
+        "g long, v long, i long")
+    want = rows_of(with_dense_ranks(df, [("g", "v", "r")]), ["g", "v", "i", "r"])
+    assert largest_groups(df, ["g", "v"]) == {"g": 27, "v": 10}   # v: the NULL group
+    spark.conf.set("spark.hourgrid.maxWindowRows", "0")
+    try:
+        got = rows_of(with_dense_ranks(df, [("g", "v", "r")]), ["g", "v", "i", "r"])
+    finally:
+        spark.conf.unset("spark.hourgrid.maxWindowRows")
+    assert got == want
