@@ -1,8 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import types as T
-
 from hourgrid.sources.tables import SCHEMAS
 
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
@@ -33,4 +31,4 @@ def canon(rows):
     return sorted((tuple(norm(x) for x in r) for r in rows), key=repr)
 
 
-__all__ = ["T0", "at", "table", "rows_of", "canon", "T"]
+__all__ = ["T0", "at", "table", "rows_of", "canon"]
