@@ -15,6 +15,7 @@ grouping-sets count, aggregated map-side; only the maxima reach the driver).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,5 +58,7 @@ def with_dense_ranks(df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFr
             w = Window.partitionBy(group_col).orderBy(F.col(order_col).asc_nulls_last())
             df = df.withColumn(out_col, F.dense_rank().over(w).cast("bigint"))
         else:
-            df = _rank_by_positions(df, group_col, order_col, out_col)
+            # the input is read twice (distinct pairs, join back): keep it once,
+            # so neither the work nor the plan doubles with every rank
+            df = _rank_by_positions(df.persist(StorageLevel.MEMORY_AND_DISK), group_col, order_col, out_col)
     return df
