@@ -25,6 +25,11 @@ RECOMMENDED_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
+    # Plans that read cached tables print each cached plan inside them; AQE
+    # rebuilds that description after every stage.  Cap its length so the
+    # driver does not spend seconds formatting strings nobody reads.
+    "spark.sql.maxPlanStringLength": "20000",
+    "spark.sql.ui.explainMode": "simple",
 }
 
 
