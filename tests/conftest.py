@@ -12,7 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", shuffle_partitions=8, app="hourgrid-tests")
+    # plan-shape tests read whole plan strings: no length cap here
+    s = local_session("*", shuffle_partitions=8, app="hourgrid-tests",
+                      extra={"spark.sql.maxPlanStringLength": str(2**31 - 1)})
     yield s
     s.stop()
 
