@@ -8,7 +8,7 @@ bin that fits in O(log bins).
 
 from __future__ import annotations
 
-import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,15 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, read_table
+from .tokens import slices
 
 SEQUENCE = 2048
 END_ID = 1
 GROUP_PIECES = 20_000  # pieces of a packing group, on average
-CACHED_WORDS = 400_000  # words whose ids a worker keeps
-SLICE_CHARS = 4_000_000  # characters tokenized at a time
-
-_WORDS: dict[str, dict[str, bytes]] = {}
-
+CACHED_WORDS = 1_000_000  # words whose ids a worker keeps
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -37,50 +34,61 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordTokenizer:
-    """Token ids of whole texts, word by word.
+#: Fixed values of the word tokenizer: how it cuts a lower-cased word into pieces
+#: (here for ASCII and the Latin-1 letters), and its letter for every byte.
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Printable bytes stand for themselves, the others follow from U+0100."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
+
+
+class WordIds(dict):
+    """Ids (little-endian unsigned 32-bit) of a word, encoded when first met.
 
     The tokenizer drops white space and never joins tokens across it, so the ids
-    of a text are those of its words in turn.  Words are cut at spaces and line
-    feeds only (any other white space stays inside a word and is left to the
-    tokenizer), and each distinct word is encoded once per worker."""
+    of a text are those of its words in turn.  Texts are cut at spaces and line
+    feeds only; a word with anything but ASCII and Latin-1 letters, or with the
+    start of a special token, goes through the whole tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _WORDS.setdefault(path, {})
-
-    def learn(self, words: set[str]) -> None:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(words)
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(coded.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
-
-
-def _slices(texts: list[str]) -> Iterator[slice]:
-    """Cuts a batch so that a slice has SLICE_CHARS or one text."""
-    start = chars = 0
-    for i, t in enumerate(texts):
-        if i > start and chars + len(t) > SLICE_CHARS:
-            yield slice(start, i)
-            start, chars = i, 0
-        chars += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            ids = []
+            for piece in _PIECE.findall(word.lower()):
+                if not piece.isascii():
+                    piece = piece.encode().decode("latin-1").translate(self.letters)
+                ids += [t.id for t in self.model.tokenize(piece)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        coded = self[word] = np.array(ids, dtype="<u4").tobytes()
+        return coded
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+_CODERS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's coder of a tokenizer file; it outlives a task."""
+    if path not in _CODERS:
+        _CODERS[path] = WordIds(path)
+    return _CODERS[path]
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID,
@@ -97,16 +105,16 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str | None = None, sequence: int
     ending = np.array([end_id], dtype="<u4").tobytes()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokenizer(path)
+        coder = word_ids(path)
         task = TaskContext.get()
         salt = f"{task.partitionId() if task else 0}:".encode()
         made = 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for cut in _slices(texts):
+            for cut in slices(texts):
                 out: list[list] = [[] for _ in range(7)]
-                for doc, body in zip(ids[cut], coder.encode(texts[cut]), strict=True):
-                    raw = body + ending
+                for doc, text in zip(ids[cut], texts[cut], strict=True):
+                    raw = coder.encode(text) + ending
                     total = len(raw) // 4
                     for start in range(0, total, sequence):
                         piece = raw[4 * start : 4 * (start + sequence)]
