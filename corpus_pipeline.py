@@ -8,13 +8,30 @@ to the next one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourgrid.llm.common import materialise, read_table
+from hourgrid.llm.decontaminate import decontaminate
+from hourgrid.llm.line_dedup import dedup_lines
 from hourgrid.llm.packing import pack_documents
+from hourgrid.llm.quality import classify_quality
 from hourgrid.llm.simhash import simhash_dedup
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality classifier rejects.
+
+    Rows are judged by doc_id: rows that share one stay if any of them passes, and
+    rows with a null doc_id are judged together as well."""
+    marks = classify_quality(docs, read_table(spark, sf_dir, "labels"))
+    kept = marks.filter("predicted = 1").select(marks.doc_id.alias("kept_id")).distinct()
+    return docs.join(kept, docs.doc_id.eqNullSafe(kept.kept_id), "left_semi")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes all but the first of each group of equal or similar lines."""
+    return dedup_lines(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each group, the document with the smallest doc_id stays.
 
@@ -26,13 +43,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one.select(docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that overlap a benchmark item."""
+    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document that is left into sequences of 2048 tokens."""
     return pack_documents(docs, with_ids=False)
 
 
 STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
     ("simhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
     ("packing", packing),
 ]
 

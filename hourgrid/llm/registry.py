@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op8_decontamination
 from .language import op3_language
+from .line_dedup import op2_line_dedup
 from .packing import op10_packing
 from .quality import op9_quality
 from .simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_line_dedup": op2_line_dedup,
     "op3_language": op3_language,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
