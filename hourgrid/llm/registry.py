@@ -12,11 +12,13 @@ from .line_dedup import op2_line_dedup
 from .packing import op10_packing
 from .quality import op9_quality
 from .simhash import op1_simhash
+from .topk import op7_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_language": op3_language,
+    "op7_topk": op7_topk,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
