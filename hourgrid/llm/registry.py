@@ -10,6 +10,7 @@ from .decontaminate import op8_decontamination
 from .language import op3_language
 from .line_dedup import op2_line_dedup
 from .packing import op10_packing
+from .pii import op6_pii
 from .quality import op9_quality
 from .simhash import op1_simhash
 from .topk import op7_topk
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_language": op3_language,
+    "op6_pii": op6_pii,
     "op7_topk": op7_topk,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
