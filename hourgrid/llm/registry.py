@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op8_decontamination
+from .html_extract import op5_html
 from .language import op3_language
 from .line_dedup import op2_line_dedup
 from .packing import op10_packing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_language": op3_language,
+    "op5_html": op5_html,
     "op6_pii": op6_pii,
     "op7_topk": op7_topk,
     "op8_decontamination": op8_decontamination,
