@@ -10,6 +10,7 @@ from .decontaminate import op8_decontamination
 from .html_extract import op5_html
 from .language import op3_language
 from .line_dedup import op2_line_dedup
+from .lm_score import op4_lm_score
 from .packing import op10_packing
 from .pii import op6_pii
 from .quality import op9_quality
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_language": op3_language,
+    "op4_lm_score": op4_lm_score,
     "op5_html": op5_html,
     "op6_pii": op6_pii,
     "op7_topk": op7_topk,
