@@ -141,6 +141,16 @@ URINE_11: tuple[int, ...] = (50055, 50056, 50057, 50069, 50085, 50096,
 # Unit string that counts towards fluid totals (exact, case-sensitive).
 TOTAL_UNIT = "ml"
 
+# Hospital-level lab column -> output name, in output order
+LAB_RENAMES = (
+    ("hemoglobin", "haemoglobin"), ("hematocrit", "haematocrit"), ("wbc", "white_cell_count"),
+    ("platelet", "platelet_count"), ("sodium", "sodium"), ("potassium", "potassium"),
+    ("chloride", "chlorine"), ("bun", "urea"), ("bicarbonate", "bicarbonate"),
+    ("creatinine", "creatinine"), ("lactate", "lactate"), ("aniongap", "aniongap"),
+    ("albumin", "albumin"), ("bilirubin", "bilirubin"), ("inr", "inr"), ("pt", "pt"), ("ptt", "ptt"),
+    ("glucose", "glucose_lab"), ("bands", "bands"),
+)
+
 # ----------------------------------------------------------------------------
 # end of fixed values
 # ----------------------------------------------------------------------------

@@ -1,90 +1,27 @@
 """Fact-to-dimension joins that stay balanced when one key is hot.
 
-Every feature job joins a very large event table to the stay table on an
-equi key (``icustay_id`` or the coarser ``hadm_id``), sometimes with a time
-range as residual predicate.  Two physical shapes are used:
-
-1. **Broadcast hash join** when Catalyst's size estimate for the stay side
-   (the same estimate ``autoBroadcastJoinThreshold`` is compared against; an
-   upper bound without CBO for scans, filters, projections, aggregates and
-   joins) is at most ``spark.hourgrid.broadcastMaxBytes``.  The event side is
-   not shuffled at all, so a hot key costs nothing extra.
-2. **Salted shuffle join** otherwise.  A sample of the event side's key
-   column finds hot keys (keys estimated to hold more than
-   ``spark.hourgrid.rowsPerTask`` rows).  Rows of a hot key get a salt in
-   ``[0, n_k)`` (a hash of the row) with ``n_k`` proportional to the key's
-   size, and the stay
-   rows of that key are replicated ``n_k`` times; every other key uses salt 0.
-   The join then runs on ``(key, salt)`` so no task receives more than about
-   ``rowsPerTask`` event rows of one key.  The hot-key list is collected to
-   the driver, but it is bounded by ``spark.hourgrid.maxHotKeys``; keys beyond
-   it are still joined correctly, only unsalted (AQE's skew split remains as
-   a second line of defence).
+Every feature job joins a very large event table to the stay table on an equi
+key, sometimes with a time range as residual predicate.  Nothing is measured,
+sampled or collected while a plan is built, and no broadcast is forced:
+
+* Spark broadcasts the stay side where its own size check
+  (``spark.sql.autoBroadcastJoinThreshold``, and at run time AQE's measured size
+  of the shuffled rows) allows it; the event side is then not shuffled at all.
+* Otherwise the join is a sort-merge join on ``(key, hash of key)``.  The second
+  key says nothing new, but a later aggregate by stay and hour can no longer
+  take the join's partitioning for its own.  It combines map-side and shuffles
+  its own small partial sums, and AQE is free to split a join partition that a
+  hot key makes too large, at any number of hot keys and however many of its
+  rows are alike.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CONF_PREFIX = "spark.hourgrid."
-DEFAULTS = {
-    "broadcastMaxBytes": 64 * 1024 * 1024,
-    "rowsPerTask": 5_000_000,
-    "hotKeySampleFraction": 0.01,
-    "maxHotKeys": 2_000,
-    # A key holding a third of 100 TB needs ~65k salts to reach ~500 MB per
-    # task.  Replication stays bounded: the salts over all hot keys add up to
-    # about (hot rows / rowsPerTask), and each salt copies one key's stay rows.
-    "maxSaltPerKey": 65_536,
-    # largest group a window partition may hold (one task); see plans.ranking
-    "maxWindowRows": 2_000_000,
-}
-
-
-def setting(df: DataFrame, name: str) -> float:
-    raw = df.sparkSession.conf.get(CONF_PREFIX + name, None)
-    return float(raw) if raw not in (None, "") else float(DEFAULTS[name])
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's sizeInBytes estimate of the optimized plan, or None when the
-    session does not expose it (e.g. Spark Connect)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - no JVM handle: treat the size as unknown
-        return None
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= setting(df, "broadcastMaxBytes")
-
-
-def hot_keys(big: DataFrame, key: str) -> dict:
-    """Keys of ``big`` estimated (from a Bernoulli sample) to hold more than
-    ``rowsPerTask`` rows, mapped to the number of salts they need.
-
-    At most ``maxHotKeys`` keys (the largest) are returned, so the collected
-    list has a fixed bound whatever the data size.
-    """
-    fraction = setting(big, "hotKeySampleFraction")
-    per_task = setting(big, "rowsPerTask")
-    max_keys = int(setting(big, "maxHotKeys"))
-    max_salt = int(setting(big, "maxSaltPerKey"))
-    min_sampled = max(1.0, per_task * fraction)
-    rows = (big.select(key).where(F.col(key).isNotNull())
-            .sample(withReplacement=False, fraction=fraction, seed=17)
-            .groupBy(key).count()
-            .where(F.col("count") >= F.lit(min_sampled))
-            .orderBy(F.col("count").desc())
-            .limit(max_keys)
-            .collect())
-    return {r[key]: min(max_salt, max(2, math.ceil(r["count"] / fraction / per_task))) for r in rows}
-
 
 def join_dimension(
     big: DataFrame,
@@ -92,47 +29,37 @@ def join_dimension(
     key: str,
     condition: Callable[[], Column] | None = None,
     how: str = "inner",
-    *,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """``big`` joined to ``small`` on ``big[key] == small[key]`` (plus an optional
     residual ``condition`` over columns whose names are unique across both sides).
 
     ``how`` is ``inner`` or ``left_semi``.  The key column appears once in the
-    output.  ``broadcast`` forces a strategy (tests); by default it follows the
-    size check described in the module docstring.
+    output.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     rkey = f"__{key}_r"
     right = small.withColumnRenamed(key, rkey)
-    use_broadcast = fits_broadcast(small) if broadcast is None else broadcast
+    cond = (F.col(key) == F.col(rkey)) & (F.xxhash64(F.col(key)) == F.xxhash64(F.col(rkey)))
+    if condition is not None:
+        cond = cond & condition()
+    out = big.join(right, cond, how)
+    return out.drop(rkey) if how == "inner" else out
 
-    if use_broadcast:
-        cond = F.col(key) == F.col(rkey)
-        if condition is not None:
-            cond = cond & condition()
-        out = big.join(F.broadcast(right), cond, how)
-        return out.drop(rkey) if how == "inner" else out
 
-    hot = hot_keys(big, key)
-    if not hot:
-        cond = F.col(key) == F.col(rkey)
-        if condition is not None:
-            cond = cond & condition()
-        out = big.join(right, cond, how)
-        return out.drop(rkey) if how == "inner" else out
+def join_interval(big: DataFrame, small: DataFrame, key: str, at: str, start: str, end: str) -> DataFrame:
+    """Rows of ``big`` with every row of ``small`` that has the same key and an
+    interval ``start <= at <= end`` (both ends included).
 
-    salt_of = F.create_map(*[x for k, n in hot.items() for x in (F.lit(k), F.lit(n))])
-    n_big = F.coalesce(F.element_at(salt_of, F.col(key)), F.lit(1))
-    # The salt is a pure function of the row (a content hash), so a retried
-    # map task sends every row to the same reducer as the first attempt.
-    # Exact duplicate rows share a salt; every other row of a hot key spreads.
-    salted_big = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), n_big.cast("bigint")).cast("int"))
-    n_small = F.coalesce(F.element_at(salt_of, F.col(rkey)), F.lit(1))
-    salted_small = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), (n_small - 1).cast("int"))))
-    cond = (F.col(key) == F.col(rkey)) & (F.col("__salt") == F.col("__salt_r"))
-    if condition is not None:
-        cond = cond & condition()
-    out = salted_big.join(salted_small, cond, how).drop("__salt")
-    return out.drop(rkey, "__salt_r") if how == "inner" else out
+    The interval side is listed under each calendar day it touches and an event
+    looks at its own day only, so the events of a key with many intervals meet
+    the intervals of that day, not all of them.  An event has one day, so no pair
+    is found twice.  Rows with a null key or time and empty intervals match
+    nothing, as in the plain range join.
+    """
+    days = F.sequence(F.to_date(start), F.to_date(end), F.expr("INTERVAL 1 DAY"))
+    listed = small.where(F.col(start) <= F.col(end)).withColumn("__day", F.explode(days)).withColumnRenamed(key, f"__{key}_r")
+    dated = big.withColumn("__at_day", F.to_date(at))
+    cond = ((F.col(key) == F.col(f"__{key}_r")) & (F.col("__at_day") == F.col("__day"))
+            & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end)))
+    return dated.join(listed, cond).drop("__day", "__at_day", f"__{key}_r")

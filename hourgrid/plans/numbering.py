@@ -6,10 +6,9 @@ rows before it in a total order.  It is computed in two levels:
 1. ``repartitionByRange`` cuts the rows into contiguous, similarly sized
    blocks (a hot leading key is still split, since the cut points are on the
    full composite key) and the block id is ``spark_partition_id()``.  The
-   blocked rows are persisted, so both branches below read one
-   materialization: the block totals and the rows can never disagree about
-   the cut points.  A block lost with an executor is recomputed through the
-   same shuffle dependency, i.e. with the same range bounds.
+   blocked rows are written to the shared folder and read back, so the block
+   totals and the rows can never disagree about the cut points, whatever
+   executors are lost later.
 2. Block totals (one row per block) are prefix-summed - the only window
    without a partition key, over at most ``num_blocks`` rows - and broadcast
    back (a bounded broadcast: ``num_blocks`` rows); within a block a window
@@ -18,17 +17,17 @@ rows before it in a total order.  It is computed in two levels:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise
+
 
 def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
                          num_blocks: int | None = None) -> DataFrame:
     n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocked = (df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order_cols])
-               .withColumn("__blk", F.spark_partition_id())
-               .persist(StorageLevel.MEMORY_AND_DISK))
+    blocked = materialise(df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order_cols])
+                          .withColumn("__blk", F.spark_partition_id()), "blocks")
     totals = blocked.groupBy("__blk").agg(F.sum(value_col).alias("__blk_total"))
     before = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__blk", F.coalesce(F.sum("__blk_total").over(before), F.lit(0))

@@ -1,64 +1,42 @@
-"""Dense ranks within groups, with the group size checked before a window.
+"""Dense ranks of times within groups, without a window over a whole group.
 
 ``with_dense_ranks`` adds ``dense_rank() OVER (PARTITION BY g ORDER BY v ASC
-NULLS LAST)`` columns.  A window partition is one task, so first the largest
-group of every requested partition key is measured in one small job (a
-grouping-sets count, aggregated map-side; only the maxima reach the driver).
+NULLS LAST)`` columns for timestamps ``v``.  A window partition is one task, and
+nothing bounds the rows of a group, so the rank is put together from two windows
+that the calendar bounds:
 
-* Largest group within ``spark.hourgrid.maxWindowRows``: a plain window.
-* Larger: the rank is computed without a per-group task.  The distinct
-  (g, v) pairs get their global position in (g, v) order from the two-level
-  prefix sum of ``plans.numbering``; a pair's rank is its position minus the
-  position of its group's first pair, plus one.  The ranks are joined back on
-  (g, v), null-safe, as the window would treat NULL values as equal.
+* within one group and day, the distinct times are numbered (a day has 86,400
+  seconds);
+* within one group, the days' counts are summed up in order (a group has as many
+  rows here as it has days).
+
+NULL times are one more "day" behind all others.  NULL groups are a group of
+their own, as in the window; every join is null-safe.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import setting
-from .numbering import exclusive_prefix_sum
-
-
-def largest_groups(df: DataFrame, keys: list[str]) -> dict[str, int]:
-    """Row count of the largest group for each key, in one aggregation job."""
-    sets = [[k] for k in keys]
-    gid = F.grouping_id(*keys)
-    counts = df.groupingSets(sets, *keys).agg(F.count(F.lit(1)).alias("__n"), gid.alias("__gid"))
-    rows = counts.groupBy("__gid").agg(F.max("__n").alias("__max")).collect()
-    by_gid = {r["__gid"]: r["__max"] for r in rows}
-    out = {}
-    for i, k in enumerate(keys):
-        # grouping_id sets a bit for every key that is *not* grouped in that set
-        gid_k = sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)
-        out[k] = int(by_gid.get(gid_k, 0) or 0)
-    return out
-
 
-def _rank_by_positions(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
-    pairs = df.select(group_col, order_col).distinct().withColumn("__one", F.lit(1))
-    pos = exclusive_prefix_sum(pairs, [group_col, order_col], "__one", "__pos")
-    start = pos.groupBy(group_col).agg(F.min("__pos").alias("__start"))
-    ranks = (pos.join(start, group_col)
-             .select(F.col(group_col).alias("__g"), F.col(order_col).alias("__v"),
-                     (F.col("__pos") - F.col("__start") + 1).cast("bigint").alias(out_col)))
-    cond = F.col(group_col).eqNullSafe(F.col("__g")) & F.col(order_col).eqNullSafe(F.col("__v"))
-    return df.join(ranks, cond, "inner").drop("__g", "__v")
+def _dense_ranks(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
+    pairs = df.select(F.col(group_col).alias("__g"), F.col(order_col).alias("__v")).distinct()
+    pairs = pairs.withColumn("__day", F.to_date("__v"))
+    in_day = Window.partitionBy("__g", "__day").orderBy("__v")
+    placed = pairs.withColumn("__place", F.row_number().over(in_day))
+    before = (Window.partitionBy("__gd").orderBy(F.col("__dd").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    days = (pairs.groupBy(F.col("__g").alias("__gd"), F.col("__day").alias("__dd")).agg(F.count(F.lit(1)).alias("__n"))
+            .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
+    ranks = placed.join(days, F.col("__g").eqNullSafe(F.col("__gd")) & F.col("__day").eqNullSafe(F.col("__dd")))
+    ranks = ranks.select("__g", "__v", (F.col("__before") + F.col("__place")).cast("bigint").alias(out_col))
+    same = F.col(group_col).eqNullSafe(F.col("__g")) & F.col(order_col).eqNullSafe(F.col("__v"))
+    return df.join(ranks, same).drop("__g", "__v")
 
 
 def with_dense_ranks(df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFrame:
-    """``specs``: (partition column, order column, output column) triples."""
-    limit = setting(df, "maxWindowRows")
-    sizes = largest_groups(df, sorted({g for g, _, _ in specs}))
+    """``specs``: (partition column, timestamp column, output column) triples."""
     for group_col, order_col, out_col in specs:
-        if sizes[group_col] <= limit:
-            w = Window.partitionBy(group_col).orderBy(F.col(order_col).asc_nulls_last())
-            df = df.withColumn(out_col, F.dense_rank().over(w).cast("bigint"))
-        else:
-            # the input is read twice (distinct pairs, join back): keep it once,
-            # so neither the work nor the plan doubles with every rank
-            df = _rank_by_positions(df.persist(StorageLevel.MEMORY_AND_DISK), group_col, order_col, out_col)
+        df = _dense_ranks(df, group_col, order_col, out_col)
     return df

@@ -19,18 +19,39 @@ FEATURES = ("vitals", "labs", "inputs", "outputs")
 KEY = ("icustay_id", "hr")
 
 
-def refresh_features(icustays: DataFrame, chartevents: DataFrame, labevents: DataFrame,
-                     inputevents_cv: DataFrame, outputevents: DataFrame, base_path: str, *,
-                     prefix: str = "hourgrid_", num_buckets: int | None = None) -> dict[str, str]:
-    """Rebuild the four feature tables under ``base_path``; returns their table names."""
-    built = {
+def features(icustays: DataFrame, chartevents: DataFrame, labevents: DataFrame,
+             inputevents_cv: DataFrame, outputevents: DataFrame) -> dict[str, DataFrame]:
+    """The four hourly feature tables."""
+    return {
         "vitals": FE.vitals_hourly(icustays, chartevents),
         "labs": FE.labs_hourly(icustays, labevents),
         "inputs": FE.inputs_hourly(icustays, inputevents_cv),
         "outputs": FE.outputs_hourly(icustays, outputevents),
     }
+
+
+def store_features(icustays: DataFrame, chartevents: DataFrame, labevents: DataFrame,
+                   inputevents_cv: DataFrame, outputevents: DataFrame, base_path: str) -> dict[str, str]:
+    """Rebuild the four feature tables as Parquet under ``base_path``; returns their paths."""
+    paths = {}
+    for name, df in features(icustays, chartevents, labevents, inputevents_cv, outputevents).items():
+        paths[name] = f"{base_path.rstrip('/')}/{name}"
+        write_feature(df, paths[name])
+    return paths
+
+
+def summary_from_paths(spark: SparkSession, icustays: DataFrame, admissions: DataFrame,
+                       patients: DataFrame, paths: dict[str, str]) -> DataFrame:
+    """JOB-6 over feature tables stored as Parquet."""
+    return hourly_summary(icustays, admissions, patients, *[spark.read.parquet(paths[f]) for f in FEATURES], stored=True)
+
+
+def refresh_features(icustays: DataFrame, chartevents: DataFrame, labevents: DataFrame,
+                     inputevents_cv: DataFrame, outputevents: DataFrame, base_path: str, *,
+                     prefix: str = "hourgrid_", num_buckets: int | None = None) -> dict[str, str]:
+    """Rebuild the four feature tables, bucketed, under ``base_path``; returns their table names."""
     names = {}
-    for name, df in built.items():
+    for name, df in features(icustays, chartevents, labevents, inputevents_cv, outputevents).items():
         names[name] = prefix + name
         write_feature(df, f"{base_path.rstrip('/')}/{name}", bucket_cols=KEY,
                       num_buckets=num_buckets, table=names[name])
@@ -39,6 +60,6 @@ def refresh_features(icustays: DataFrame, chartevents: DataFrame, labevents: Dat
 
 def summary_from_features(spark: SparkSession, icustays: DataFrame, admissions: DataFrame,
                           patients: DataFrame, names: dict[str, str]) -> DataFrame:
-    """JOB-6 over the stored feature tables."""
+    """JOB-6 over the stored, bucketed feature tables."""
     return hourly_summary(icustays, admissions, patients,
-                          *[spark.table(names[f]) for f in FEATURES])
+                          *[spark.table(names[f]) for f in FEATURES], stored=True)

@@ -23,13 +23,13 @@ sees more than one stay's rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import concepts as C
 from ..operators.cohort import with_last_hour
 from ..operators.stays import demographics, stay_frame, with_stay_ranks
+from ..sources.shared import materialise
 from .numbering import exclusive_prefix_sum
 
 ORDER = ["subject_id", "hadm_id", "icustay_id"]
@@ -82,18 +82,14 @@ INPUT_COLS = [n for n, _ in C.INPUT_SETS] + ["in_total"]
 OUTPUT_COLS = ["out_urine", "out_total"]
 
 
-def _reused(df: DataFrame) -> DataFrame:
-    """The vitals table is read twice (its hour list at stay grain, and its
-    columns); keep the first computation for the second read.  The table is
-    deterministic, so blocks lost with an executor are simply recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def hourly_summary(icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
-                   vitals: DataFrame, labs: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame:
+                   vitals: DataFrame, labs: DataFrame, inputs: DataFrame, outputs: DataFrame, *,
+                   stored: bool = False) -> DataFrame:
     """JOB-6: one row per cohort hour with demographics, vitals, labs, fluids
-    and stay order (63 columns), ordered by subject, admission, stay, hour."""
-    vitals = _reused(vitals)
+    and stay order (63 columns), ordered by subject, admission, stay, hour.
+    ``stored``: the vitals are a stored table, not a plan over the events."""
+    if not stored:
+        vitals = materialise(vitals, "vitals")  # read twice: its hours, and its columns
     spine = numbered_spine(_stays(icustays, admissions, patients), vitals)
     out = attach(spine, vitals, SUMMARY_VITALS)
     out = attach(out, labs, list(C.LAB_OUTPUT_ORDER))
@@ -111,7 +107,7 @@ def one_pass_summary(icustays: DataFrame, admissions: DataFrame, patients: DataF
     averages equal the per-side hourly averages used here (aggregate before
     joining, no product).  Both glucose columns are kept, as glucose_vital and
     glucose_lab; the draft selects no fluid columns."""
-    vitals = _reused(vitals)
+    vitals = materialise(vitals, "vitals")  # read twice: its hours, and its columns
     spine = numbered_spine(_stays(icustays, admissions, patients), vitals)
     vit_cols = [name for _, name, _ in C.vital_measures(C.VITALS_10)]
     out = attach(spine, vitals, vit_cols, {"glucose": "glucose_vital"})

@@ -12,46 +12,42 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import concepts as C
 from ..functions.timebin import age_years, los_days
-from ..operators.features import charted_vitals, pivot_vitals
+from ..operators.features import admission_labs, charted_vitals, pivot_vitals
 from ..operators.stays import stay_frame, with_stay_ranks
+from ..sources.shared import materialise
+
+ORDER = ["subject_id", "hadm_id", "icustay_id"]
 
 # The 10-code concepts with SpO2 and glucose aggregated by MIN (JOB-9).
 VITALS_10_MIN = tuple(replace(r, agg="min") if r.name in ("spo2", "glucose") else r for r in C.VITALS_10)
 
 
-def reused(df: DataFrame) -> DataFrame:
-    """Mark a small intermediate that the plan reads more than once.
-
-    Without it each branch re-derives the table from the event scan, because
-    column pruning makes the branches differ and Spark cannot share their
-    exchanges.  The tables marked here are (stay, hour) aggregates or a
-    bounded stay list; they are deterministic, so blocks lost with an
-    executor are recomputed from lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _vital_groups(icustays: DataFrame, chartevents: DataFrame, rules, max_icustay_id: int | None) -> DataFrame:
-    coded = charted_vitals(icustays, chartevents, rules, max_icustay_id=max_icustay_id)
-    return reused(pivot_vitals(coded, rules, ["icustay_id", "hr"]))
+def _charted(icustays: DataFrame, chartevents: DataFrame, rules, max_icustay_id: int | None) -> DataFrame:
+    return charted_vitals(icustays, chartevents, rules, max_icustay_id=max_icustay_id)
 
 
-def _result_stays(groups: DataFrame, icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
+def _result_stays(coded: DataFrame, icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
                   age_digits: int = 4) -> DataFrame:
-    """Stay attributes and ranks for the stays present in ``groups``."""
-    present = groups.select("icustay_id").distinct()
+    """Stay attributes of the stays that have a charted row (a narrow scan)."""
+    present = coded.select("icustay_id").distinct()
     st = stay_frame(icustays, admissions, patients).join(present, "icustay_id", "left_semi")
-    return with_stay_ranks(st).withColumns({
+    return st.withColumns({
         "los_hospital": los_days(F.col("admittime"), F.col("dischtime")),
         "age": age_years(F.col("dob"), F.col("admittime"), age_digits),
         "los_icu": los_days(F.col("intime"), F.col("outtime"))})
 
 
+def _first_stays(stays: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` stays in output order: each gives a row at least, so no
+    other stay reaches the first ``limit`` rows."""
+    return materialise(stays.orderBy(*ORDER).limit(limit), "first-stays")
+
+
 def _with_rn(rows: DataFrame) -> DataFrame:
     """rn = position of the hour within its stay (at most 25 rows per stay)."""
     return rows.withColumn("rn", F.row_number().over(
@@ -64,11 +60,15 @@ STAY_TAIL = ["admittime", "dischtime", "los_hospital", "age", "ethnicity", "admi
 
 
 def _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id,
-                           keep_stays: DataFrame | None = None) -> DataFrame:
-    groups = _vital_groups(icustays, chartevents, C.VITALS_8, max_icustay_id)
+                           keep_stays: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    coded = _charted(icustays, chartevents, C.VITALS_8, max_icustay_id)
     if keep_stays is not None:
-        groups = groups.join(keep_stays, "icustay_id", "left_semi")
-    stays = _result_stays(groups, icustays, admissions, patients)
+        coded = coded.join(keep_stays, "icustay_id", "left_semi")
+    stays = with_stay_ranks(_result_stays(coded, icustays, admissions, patients))
+    if limit is not None:
+        stays = _first_stays(stays, limit)
+        coded = coded.join(stays.select("icustay_id"), "icustay_id", "left_semi")
+    groups = pivot_vitals(coded, C.VITALS_8, ["icustay_id", "hr"])
     rows = _with_rn(groups.join(stays, "icustay_id"))
     measures = [name for _, name, _ in C.vital_measures(C.VITALS_8)]
     return rows.select("subject_id", "hadm_id", "icustay_id", "hr", "gender", "rn", *measures, *STAY_TAIL)
@@ -81,7 +81,7 @@ def vitals_with_stay(icustays: DataFrame, chartevents: DataFrame, admissions: Da
     ordered by subject, admission, stay, hour; the first ``limit`` rows
     (``limit=None``: all rows).  ``max_icustay_id`` is the optional
     ``icustay_id < K`` development cut-off."""
-    rows = _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id)
+    rows = _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id, limit=limit)
     ordered = rows.orderBy("subject_id", "hadm_id", "icustay_id", "hr")
     return ordered.limit(limit) if limit is not None else ordered
 
@@ -97,10 +97,7 @@ def vitals_with_inout(icustays: DataFrame, chartevents: DataFrame, admissions: D
     left-joined once.  Its join to the raw input table only tests existence:
     a left semi join against the distinct input stays (deduplicated map-side
     before any shuffle)."""
-    inputs = reused(inputs)
-    # every input row of a result stay is in the (stay x input) aggregate, so
-    # its stay ids are exactly the stays with an input; no second input scan
-    with_inputs = inputs.select("icustay_id").distinct()
+    with_inputs = inputevents_cv.select("icustay_id").distinct()
     rows = _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id,
                                   keep_stays=with_inputs)
     fin = inputs.select("icustay_id", "hr", *[n for n, _ in C.INPUT_SETS])
@@ -110,18 +107,8 @@ def vitals_with_inout(icustays: DataFrame, chartevents: DataFrame, admissions: D
     return out.select(*cols).orderBy("icustay_id", "hr", "subject_id", "hadm_id")
 
 
-LAB_RENAMES = (  # hospital-level lab column -> output name, in output order
-    ("hemoglobin", "haemoglobin"), ("hematocrit", "haematocrit"), ("wbc", "white_cell_count"),
-    ("platelet", "platelet_count"), ("sodium", "sodium"), ("potassium", "potassium"),
-    ("chloride", "chlorine"), ("bun", "urea"), ("bicarbonate", "bicarbonate"),
-    ("creatinine", "creatinine"), ("lactate", "lactate"), ("aniongap", "aniongap"),
-    ("albumin", "albumin"), ("bilirubin", "bilirubin"), ("inr", "inr"), ("pt", "pt"), ("ptt", "ptt"),
-    ("glucose", "glucose_lab"), ("bands", "bands"),
-)
-
-
 def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admissions: DataFrame,
-                               patients: DataFrame, admission_labs: DataFrame, *,
+                               patients: DataFrame, labevents: DataFrame, *,
                                max_icustay_id: int | None = None, limit: int = 100) -> DataFrame:
     """JOB-9 as its top-``limit`` report.
 
@@ -131,48 +118,48 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
     numbered by ``rn`` in (hour, lab row) order.  That product grows with the
     square of an admission's size, so it is never built whole.  Instead:
 
-    * the stays that can reach the first ``limit`` rows are the first
-      ``limit`` result stays in (subject, admission, stay) order (each has at
-      least one row) - a bounded top-k at stay grain;
-    * each admission's distinct lab rows are counted exactly (``L``), and
-      only its first ``limit`` lab rows in order are kept (a per-group top-k
-      that Spark limits map-side before the shuffle);
-    * rn = (position of the hour in the stay - 1) * max(L, 1) + position of
-      the lab row, which is exact for every row produced.
-
-    The product of those bounded pieces (<= limit stays x 25 hours x limit
-    lab rows) is then ordered and cut to ``limit`` rows.
+    * the first ``limit`` stays in output order are found by a narrow scan, and
+      charted values and labs of other stays and admissions are dropped before
+      anything is aggregated;
+    * each of those stays has (hours) x (distinct lab rows, at least 1) rows; the
+      running sum over the stays in order tells how many of its rows, if any,
+      are among the first ``limit``;
+    * a stay's rows are numbered rn = (hour - 1) * L + lab row, so only the
+      hours and lab rows that make up those rows are joined: ``limit`` rows in all.
     """
     rules = VITALS_10_MIN
-    groups = _vital_groups(icustays, chartevents, rules, max_icustay_id)
-    stays = _result_stays(groups, icustays, admissions, patients, age_digits=0)
-    order = ["subject_id", "hadm_id", "icustay_id"]
-    first = reused(stays.orderBy(*order).limit(limit))
+    coded = _charted(icustays, chartevents, rules, max_icustay_id)
+    first = _first_stays(_result_stays(coded, icustays, admissions, patients, age_digits=0), limit)
+
+    coded = coded.join(first.select("icustay_id"), "icustay_id", "left_semi")
+    hour_order = Window.partitionBy("icustay_id").orderBy("hr")
+    groups = materialise(pivot_vitals(coded, rules, ["icustay_id", "hr"])
+                         .withColumn("__vpos", F.row_number().over(hour_order)), "first-hours")
 
     lab_cols = list(C.ADMISSION_LAB_COLUMNS)
-    # read twice (exact counts, per-admission top-k): computed once
-    distinct_labs = reused(admission_labs.select("hadm_id", *lab_cols).distinct())
-    lab_count = distinct_labs.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("__nlab"))
-    first_adm = first.select("hadm_id").distinct()
     lab_order = Window.partitionBy("hadm_id").orderBy(*[F.col(c).asc_nulls_last() for c in lab_cols])
-    top_labs = (distinct_labs.join(F.broadcast(first_adm), "hadm_id", "left_semi")
-                .withColumn("__lpos", F.row_number().over(lab_order))
+    labs = admission_labs(icustays, labevents.join(first.select("hadm_id").distinct(), "hadm_id", "left_semi"))
+    distinct_labs = materialise(labs.select("hadm_id", *lab_cols).distinct(), "first-labs")
+    lab_count = distinct_labs.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("__nlab"))
+    top_labs = (distinct_labs.withColumn("__lpos", F.row_number().over(lab_order))
                 .where(F.col("__lpos") <= F.lit(limit)))
 
-    hour_order = Window.partitionBy("icustay_id").orderBy("hr")
-    first_groups = (groups.join(F.broadcast(first.select("icustay_id")), "icustay_id", "left_semi")
-                    .withColumn("__vpos", F.row_number().over(hour_order)))
-    rows = (first_groups.join(F.broadcast(first), "icustay_id")
-            .join(lab_count, "hadm_id", "left")
-            .join(top_labs.select("hadm_id", "__lpos", *[F.col(c).alias("__lab_" + c) for c in lab_cols]),
-                  "hadm_id", "left"))
-    n_lab = F.greatest(F.coalesce(F.col("__nlab"), F.lit(0)), F.lit(1))
-    rows = rows.withColumn("rn", ((F.col("__vpos") - 1) * n_lab + F.coalesce(F.col("__lpos"), F.lit(1)))
-                           .cast("bigint"))
+    hours = groups.groupBy("icustay_id").agg(F.count(F.lit(1)).alias("__nhour"))
+    sized = first.join(hours, "icustay_id").join(lab_count, "hadm_id", "left").withColumn(
+        "__nlab", F.greatest(F.coalesce(F.col("__nlab"), F.lit(0)), F.lit(1)))
+    running = Window.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)   # at most ``limit`` stays
+    needed = F.lit(limit) - F.coalesce(F.sum(F.col("__nhour") * F.col("__nlab")).over(running), F.lit(0))
+    sized = sized.withColumn("__need", needed).where(F.col("__need") > 0)
+
+    base = (F.col("__vpos") - 1) * F.col("__nlab")
+    rows = sized.join(groups, "icustay_id").where(base < F.col("__need")).withColumn("__base", base)
+    picked = top_labs.select(F.col("hadm_id").alias("__adm"), "__lpos", *[F.col(c).alias("__lab_" + c) for c in lab_cols])
+    rows = rows.join(picked, (F.col("hadm_id") == F.col("__adm")) & (F.col("__base") + F.col("__lpos") <= F.col("__need")), "left")
+    rows = rows.withColumn("rn", (F.col("__base") + F.coalesce(F.col("__lpos"), F.lit(1))).cast("bigint"))
 
     vit_names = [name for _, name, _ in C.vital_measures(rules)]
     vit_out = [F.col(n).alias("glucose_vital" if n == "glucose" else n) for n in vit_names]
-    return (rows.orderBy(*order, "hr", "rn").limit(limit)
+    return (rows.orderBy(*ORDER, "hr", "rn").limit(limit)
             .select("subject_id", "hadm_id", "icustay_id", "age", "gender",
                     F.col("admittime").alias("hospital_admission_date"),
                     F.col("dischtime").alias("hospital_discharge_date"),
@@ -181,4 +168,4 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
                     F.col("outtime").alias("icu_discharge_date"),
                     F.col("los_icu").alias("icu_los"), "ethnicity", "admission_type",
                     F.col("hr").alias("hour"), "rn", *vit_out,
-                    *[F.col("__lab_" + src).alias(dst) for src, dst in LAB_RENAMES]))
+                    *[F.col("__lab_" + src).alias(dst) for src, dst in C.LAB_RENAMES]))

@@ -9,6 +9,7 @@ themselves return full precision.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from .operators.cohort import hourly_cohort
 from .operators.vent import vent_flag
 from .plans import summary as SU
 from .plans import variants as VA
+from .plans.refresh import store_features, summary_from_paths
 from .sources.proxy import load_proxy
+from .sources.shared import shared_dir
 
 DIGITS = 6
 
@@ -98,6 +101,14 @@ def q_hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         FE.outputs_hourly(t.icustays, t.outputevents)))
 
 
+def q_summary_from_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two-step workflow: the feature tables are stored, the summary reads them."""
+    t = load_proxy(spark, sf_dir)
+    paths = store_features(t.icustays, t.chartevents, t.labevents, t.inputevents_cv, t.outputevents,
+                           f"{shared_dir(spark)}/hourgrid-features-{uuid.uuid4().hex}")
+    return round_doubles(summary_from_paths(spark, t.icustays, t.admissions, t.patients, paths))
+
+
 def q_one_pass_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_proxy(spark, sf_dir)
     return round_doubles(SU.one_pass_summary(
@@ -133,8 +144,7 @@ def q_vitals_with_inout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_vitals_with_admission_labs_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_proxy(spark, sf_dir)
     return round_doubles(VA.vitals_with_admission_labs(
-        t.icustays, t.chartevents, t.admissions, t.patients, FE.admission_labs(t.icustays, t.labevents),
-        limit=100))
+        t.icustays, t.chartevents, t.admissions, t.patients, t.labevents, limit=100))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -147,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stay_demographics": q_stay_demographics,
         "stay_ranks": q_stay_ranks,
         "hourly_summary": q_hourly_summary,
+        "summary_from_features": q_summary_from_features,
         "one_pass_summary": q_one_pass_summary,
         "vent_flag": q_vent_flag,
         "vitals_hourly": q_vitals_hourly,

@@ -1,20 +1,16 @@
-"""Session construction and the shared checkpoint folder.
+"""Session settings.
 
 On a cluster the session is created by the platform and already names a
-shared ``spark.checkpoint.dir``; the jobs only read it.  Locally (tests,
-bench) a folder under /tmp is set when nothing is configured.
+shared ``spark.checkpoint.dir``; the jobs only read it (``sources.shared``).
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Configs the jobs are tuned for.  AQE coalesces the many small shuffle
 # partitions of the per-hour aggregates and splits skewed join partitions
-# that the explicit salting does not already handle.
+# of hot keys.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -56,7 +52,6 @@ def cluster_conf(largest_shuffle_bytes: int, *, target_partition_bytes: int = 25
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.hourgrid.broadcastMaxBytes": str(64 << 20),
     }
 
 
@@ -69,28 +64,4 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's reliable checkpoint folder.
-
-    Read from the SparkContext or ``spark.checkpoint.dir``.  Only when neither
-    is set and the master is local does this create one under /tmp; on a
-    cluster an unset folder is an error, since a machine-local path would not
-    survive the loss of that machine.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
-    path = tempfile.mkdtemp(prefix="hourgrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()

@@ -186,18 +186,16 @@ def test_hour_bin_is_wall_clock_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_dense_ranks_by_positions_equal_window(spark):
-    """The large-group path (forced with a zero window limit) gives the same
-    ranks as the window, including ties and NULLs."""
-    from hourgrid.plans.ranking import largest_groups, with_dense_ranks
-    df = spark.createDataFrame(
-        [(g, (i * 7) % 5 if i % 6 else None, i) for g in (1, 2, 3) for i in range(g * 9)],
-        "g long, v long, i long")
-    want = rows_of(with_dense_ranks(df, [("g", "v", "r")]), ["g", "v", "i", "r"])
-    assert largest_groups(df, ["g", "v"]) == {"g": 27, "v": 10}   # v: the NULL group
-    spark.conf.set("spark.hourgrid.maxWindowRows", "0")
-    try:
-        got = rows_of(with_dense_ranks(df, [("g", "v", "r")]), ["g", "v", "i", "r"])
-    finally:
-        spark.conf.unset("spark.hourgrid.maxWindowRows")
-    assert got == want
+def test_dense_ranks_equal_window_with_null_groups_and_a_hot_group(spark):
+    """NULL groups and NULL times are kept, ties share a rank, and the group that
+    holds most rows ranks as a plain window does."""
+    from pyspark.sql import Window
+
+    from hourgrid.plans.ranking import with_dense_ranks
+    rows = [(g, at(hours=(i * 7) % 100, minutes=i % 3) if i % 6 else None, i) for g in (1, 2, None) for i in range(30)]
+    rows += [(7, at(hours=i % 83), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g long, v timestamp_ntz, i long")
+    w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_last())
+    want = rows_of(df.withColumn("r", F.dense_rank().over(w)), ["g", "v", "i", "r"])
+    got = rows_of(with_dense_ranks(df, [("g", "v", "r")]), ["g", "v", "i", "r"])
+    assert len(got) == len(rows) and got == want
