@@ -8,6 +8,7 @@ to the next one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourgrid.llm.common import materialise, read_table
 from hourgrid.llm.decontaminate import decontaminate
@@ -28,8 +29,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes all but the first of each group of equal or similar lines."""
-    return dedup_lines(docs)
+    """Removes all but the first of each group of equal or similar lines; a text
+    that changes gets its new n_chars."""
+    lines = dedup_lines(docs)
+    return lines.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else lines
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

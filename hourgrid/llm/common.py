@@ -7,75 +7,41 @@ text unless an operator says otherwise.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise, shared_dir  # noqa: F401 - for the operators
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test-data table; read by Spark only, so any path Spark knows works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of its own; on a cluster an
-    unset folder is an error, since no machine-local folder would do.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="hourgrid-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage is cut at
-    files that survive the loss of any executor, and later readers of the table
-    prune columns."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/hourgrid-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """Distributed union-find over an edge table (a, b): (node, component).
 
     Alternates the large-star and small-star steps, each one grouped minimum
-    (combined map-side) and one join on the node, until the edge set is a forest
-    of stars.  ``component`` is the smallest node of the component.  Nodes that
-    have no edge to another node are not returned.  Rounds grow with the
-    logarithm of the longest chain; each ends in a table in the shared folder.
+    (combined map-side) and one join on the node, until the edges form stars.
+    ``component`` is the smallest node of the component.  Nodes that have no edge
+    to another node are not returned.  Rounds grow with the logarithm of the
+    longest chain; each ends in a table in the shared folder.
     """
-    pairs = edges.filter("a <> b").selectExpr("greatest(a, b) AS hi", "least(a, b) AS lo").distinct()
-    stars = materialise(pairs, "edges")
-    seen = _signature(stars)
-    while True:
+    stars = materialise(edges.filter("a <> b").selectExpr("greatest(a, b) AS hi", "least(a, b) AS lo"), "edges")
+    while _open(stars):
         both = stars.selectExpr("hi AS u", "lo AS v").union(stars.selectExpr("lo AS u", "hi AS v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = both.join(least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo").distinct()
+        large = both.join(least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo")
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = (
-            large.join(root, "hi").filter("lo <> m").selectExpr("lo AS hi", "m AS lo")
-            .union(root.selectExpr("hi", "m AS lo")).distinct()
-        )
-        stars = materialise(small, "stars")
-        now = _signature(stars)
-        if now == seen:
-            break
-        seen = now
-    return stars.selectExpr("hi AS node", "lo AS component").union(
-        stars.selectExpr("lo AS node", "lo AS component").distinct()
-    )
-
-
-def _signature(stars: DataFrame) -> tuple:
-    """Row count and an order-free checksum of a star table."""
-    return tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+        small = large.join(root, "hi").filter("lo <> m").selectExpr("lo AS hi", "m AS lo").union(root.selectExpr("hi", "m AS lo"))
+        stars = materialise(small.distinct(), "stars")
+    return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
+        stars.select(F.col("lo").alias("node"), F.col("lo").alias("component"))).distinct()
+
+
+def _open(stars: DataFrame) -> bool:
+    """Whether some node has two smaller neighbours, or both a smaller and a larger one."""
+    ends = stars.selectExpr("hi AS node", "lo AS low", "false AS root").union(
+        stars.selectExpr("lo AS node", "CAST(NULL AS " + stars.schema["lo"].dataType.simpleString() + ") AS low", "true AS root"))
+    seen = ends.groupBy("node").agg(F.min("low").alias("least"), F.max("low").alias("most"), F.max("root").alias("root"))
+    return bool(seen.filter("least <> most OR (least IS NOT NULL AND root)").limit(1).count())

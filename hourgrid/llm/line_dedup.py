@@ -3,10 +3,10 @@
 Each distinct line gets MinHash values over its character shingles.  Bands of
 values post a line under keys that similar lines share; every posted line is
 compared with its key's representative by the exact Jaccard similarity of the
-shingle sets.  Lines that stay apart from their representative are compared with
-all lines of that key, so no link is lost while a group of near copies costs one
-comparison a line, not one a pair.  Distributed union-find joins the links, and
-of each component the first line in document order stays.
+shingle sets.  Keys whose lines are not one component after that are compared in
+full, block against block, so no link is lost while most groups of near copies
+cost one comparison a line.  Distributed union-find joins the links, and of each
+component the first line in document order stays.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ BANDS = 12
 ROWS = 5  # MinHash values of a band
 SIMILARITY = 0.8
 CHUNK = 1 << 17  # characters hashed at a time
+BLOCK = 512  # lines of a block of a key's lines
+COLUMNS = 4096  # shingles of a matrix product
 
 _RNG = np.random.default_rng(11)
 _SCALE = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -81,10 +83,17 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def jaccard(a: str, b: str) -> float:
-    """Similarity of the sets of character shingles; a shorter line is one shingle."""
-    x, y = ({t[i : i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))} for t in (a, b))
-    return len(x & y) / len(x | y)
+def shingles(line: str) -> set[str]:
+    """The character shingles of a line; a shorter line is one shingle."""
+    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+
+
+def reaches(x: set[str], y: set[str], similarity: float) -> bool:
+    """Whether two shingle sets have at least that Jaccard similarity."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    shared = len(x & y)
+    return shared >= similarity * (len(x) + len(y) - shared)
 
 
 def posted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,13 +148,77 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y) >= similarity for x, y in zip(left, right, strict=True)], dtype=bool)
+        known = {line: shingles(line) for line in {*left, *right}}
+        return pd.Series([reaches(known[x], known[y], similarity) for x, y in zip(left, right, strict=True)], dtype=bool)
 
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("left"))
     right = texts.select(F.col("line_id").alias("b"), F.col("line").alias("right"))
     return pairs.join(left, "a").join(right, "b").filter(similar("left", "right")).select("a", "b")
 
 
+def joining_pairs(lines: list[str], parts: list[int], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of places (i in left, j in right) whose lines reach the similarity, as
+    many as it takes to join the parts that such pairs connect."""
+    found: list[tuple[int, int]] = []
+    parent = {p: p for p in parts}
+
+    def root(p: int) -> int:
+        while parent[p] != p:
+            parent[p] = parent[parent[p]]
+            p = parent[p]
+        return p
+
+    sets = [shingles(line) for line in lines]
+    code: dict[str, int] = {}
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    column = np.array([code.setdefault(x, len(code)) for s in sets for x in s])
+    sizes = np.array([len(x) for x in sets])
+    shared = np.zeros((len(left), len(right)), np.float32)
+    place = np.full(len(sets), -1)
+    for at in range(0, len(code), COLUMNS):
+        own = (column >= at) & (column < at + COLUMNS)
+        sides = []
+        for side in (left, right):
+            place[:] = -1
+            place[side] = np.arange(len(side))
+            here = own & (place[row] >= 0)
+            matrix = np.zeros((len(side), COLUMNS), np.float32)
+            matrix[place[row[here]], column[here] - at] = 1
+            sides.append(matrix)
+        shared += sides[0] @ sides[1].T
+    for i, j in np.argwhere(shared >= similarity * (sizes[left][:, None] + sizes[right][None, :] - shared)).tolist():
+        a, b = root(parts[left[i]]), root(parts[right[j]])
+        if a != b:
+            parent[a] = b
+            found.append((int(left[i]), int(right[j])))
+    return found
+
+
+def _links_in_keys(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join the parts of (band, n, line_id, part) within a key.
+
+    A key's lines are cut into blocks of about BLOCK lines, and every pair of its
+    blocks is compared in some task by one matrix product, so a key of any size is
+    spread and every pair of its lines is compared."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("line_id"), blocks).cast("int")
+    sides = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
+        F.least(own, other).alias("i"), F.greatest(own, other).alias("j")))
+    dealt = members.withColumn("block", own).withColumn("pair", F.explode(sides)).select("band", "line_id", "part", "block", "pair.i", "pair.j")
+    groups = max(1, -(-dealt.count() // (4 * BLOCK)))
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("band", "i", "j"), F.lit(groups)).cast("int")).join(texts, "line_id")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        for (_, i, j), rows in frame.groupby(["band", "i", "j"], sort=False):
+            block, ids = rows["block"].to_numpy(), rows["line_id"].to_numpy()
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            out += [(ids[x], ids[y]) for x, y in joining_pairs(rows["line"].tolist(), rows["part"].tolist(), left, right, similarity)]
+        return pd.DataFrame({"a": [int(x) for x, _ in out], "b": [int(y) for _, y in out]}, dtype="int64")
+
+    return dealt.groupBy("task").applyInPandas(compare, "a long, b long").distinct()
+
+
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, removed array<int>): line numbers (from 0) to remove.
 
@@ -163,17 +236,13 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     texts = materialise(_line_texts(docs, lines, posted.select("line_id").distinct(), id_col, text_col), "line-texts")
     links = materialise(_links(near, texts, similarity), "links")
     parts = connected_components(links)
-    # lines that are in another component than their representative meet all lines of the key
-    named = posted.join(parts.withColumnRenamed("node", "line_id"), "line_id", "left").withColumn("part", F.coalesce("component", "line_id"))
-    named = materialise(named.select("band", "line_id", "low", "high", "part"), "parts")
-    core = named.filter("line_id = low").selectExpr("band", "part AS core")
-    apart = named.join(core, "band").filter("part <> core").selectExpr("band", "line_id AS a", "part AS part_a", "low", "high")
-    more = apart.join(named.selectExpr("band", "line_id AS b", "part AS part_b"), "band").filter(
-        "part_a <> part_b AND a <> low AND b <> low AND a <> high AND b <> high")
-    more = more.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-    extra = materialise(_links(more, texts, similarity), "links")
-    if extra.limit(1).count():
-        parts = connected_components(links.union(extra))
+    # what is not yet one component with its representative meets all lines of the key
+    named = posted.join(parts.withColumnRenamed("node", "line_id"), "line_id", "left").select(
+        "band", "line_id", F.coalesce("component", "line_id").alias("part"))
+    several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q")
+    open_keys = materialise(named.join(several.select("band", "n"), "band"), "open-keys")
+    extra = materialise(_links_in_keys(open_keys, texts, similarity), "links")
+    parts = connected_components(links.union(extra))
     whole = lines.select("doc_id", "text_key", "line_no", "line_id").join(
         parts.withColumnRenamed("node", "line_id"), "line_id", "left"
     ).select("doc_id", "text_key", "line_no", F.coalesce("component", "line_id").alias("part"))

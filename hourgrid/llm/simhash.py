@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +54,12 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id"
     bytes other than space and \\t..\\r; shingles are joined by one space; a text
     of fewer words is one shingle; no words (or null): fingerprint zero."""
 
-    @F.pandas_udf("long")
-    def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([fingerprint_of(t, shingle_words) for t in batch], dtype="int64")
+    def simhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [fingerprint_of(t.as_py(), shingle_words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(simhash, "doc_id long, fp long")
 
 
 def _shared_bytes() -> str:
