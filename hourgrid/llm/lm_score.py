@@ -161,7 +161,7 @@ def block_scores(words: np.ndarray, n_words: np.ndarray, totals: dict[int, np.nd
         last = np.flatnonzero(inside) + 1
         value[last] = np.where(seen > 0, log(seen) - log(single[last - 1]), np.log(alpha) + unigram[last])
         backoffs[last] = seen <= 0
-    return np.bincount(owner, weights=value, minlength=n_docs), np.bincount(owner, weights=backoffs, minlength=n_docs).astype(np.int64)
+    return np.bincount(owner, weights=value, minlength=n_docs).astype(float), np.bincount(owner, weights=backoffs, minlength=n_docs).astype(np.int64)
 
 
 def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,7 +191,7 @@ def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id
                 totals = {g: np.concatenate(parts) for g, parts in unpacked.items()}
                 sums, backoffs = block_scores(_unpack_words(payload), n_words, totals, n_corpus, alpha)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(n_words), pa.array(backoffs), pa.array(sums), pa.array(sums / np.maximum(1, n_words))],
+                    [pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(backoffs, pa.int64()), pa.array(sums, pa.float64()), pa.array(sums / np.maximum(1, n_words), pa.float64())],
                     ["doc_id", "n_words", "n_backoff", "log_score", "mean_log_score"])
 
     joined = blocks.join(gathered, "block", "left").select("doc_ids", "n_words", "words", "counts")

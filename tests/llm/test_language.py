@@ -1,0 +1,38 @@
+from hourgrid.llm.language import CompressionClassifier, identify_language, learn_dictionaries, normalise
+from hourgrid.llm.registry import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    rows = QUERIES["op3_language"](spark, SF).join(docs, "doc_id").collect()
+    assert len(rows) == docs.count()
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held) > 0
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    assert all(r["held_out"] == (__import__("zlib").crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_edges(spark, edge_docs, no_docs):
+    learned = {"en": " the same line twice one short word ", "de": " der die das eine kurze zeile und wort "}
+    rows = {r["doc_id"]: r for r in identify_language(edge_docs, learned).collect()}
+    assert identify_language(edge_docs, learned).count() == edge_docs.count()
+    for i in (1, 2, 3):
+        assert (rows[i]["lang_pred"], rows[i]["score"], rows[i]["rejected"]) == ("und", 0.0, True)
+    assert rows[5]["lang_pred"] == "en" and rows[4]["lang_pred"] in learned
+    assert identify_language(no_docs, learned).collect() == []
+    assert {r["lang_pred"] for r in identify_language(edge_docs, {}).collect()} == {"und"}
+
+
+def test_sample_is_bounded_and_ignores_nulls(spark):
+    rows = [(i, f"text number {i} " * 50, "en" if i % 9 else None) for i in range(200)] + [(900, None, "en"), (901, "", "fr")]
+    learned = learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=5, chars=40)
+    assert set(learned) == {"en"} and len(learned["en"]) <= 5 * 41 + 2
+
+
+def test_narrow_margins_and_short_texts():
+    model = CompressionClassifier({"a": " gato perro casa blanca noche ", "b": " hund katze haus weiß nacht "})
+    assert model.classify("Perro!")[0] == "a" and model.classify("NACHT.")[0] == "b"
+    assert model.classify("zzz qqq")[2] < 0.02           # nothing known: a narrow margin
+    assert model.classify("12 34")[0] == "und" and normalise("A1 Über, x") == "über x"

@@ -1,0 +1,96 @@
+import random
+
+import xxhash
+
+from hourgrid.llm.common import connected_components
+from hourgrid.llm.registry import QUERIES
+from hourgrid.llm.simhash import fingerprint_links, fingerprint_of, simhash_dedup
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in low + " ":
+        if c == " " or "\t" <= c <= "\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    if not words:
+        return 0
+    grams = [words[i : i + 3] for i in range(len(words) - 2)] or [words]
+    hashes = [xxhash.xxh64(" ".join(g).encode(), seed=42).intdigest() for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(links):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: root(x) for x in list(parent)}
+
+
+def brute_components(docs):
+    fps = {}
+    for i, t in docs:
+        fps.setdefault(brute_fingerprint(t), []).append(i)
+    known = sorted(fps)
+    links = [(a, b) for n, a in enumerate(known) for b in known[n:] if bin(a ^ b).count("1") <= 3]
+    group = components(links)
+    least = {}
+    for f, ids in fps.items():
+        own = [i for i in ids if i is not None]
+        if own:
+            least[group[f]] = min(min(own), least.get(group[f], min(own)))
+    return sorted(((i, f"{f:016x}", least.get(group[f])) for f, ids in fps.items() for i in ids), key=repr)
+
+
+def test_query_equals_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op1_simhash"](spark, SMALL).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_components(docs)
+
+
+def test_edges(spark, edge_docs, no_docs):
+    docs = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, simhash_dedup(edge_docs).collect()), key=repr) == brute_components(docs)
+    assert simhash_dedup(no_docs).collect() == []
+
+
+def test_fingerprint_rules():
+    assert fingerprint_of(None) == fingerprint_of("") == fingerprint_of(" \t\r\n\x0b\x0c") == 0
+    assert fingerprint_of("A b  C") == fingerprint_of("a\nB c")          # ASCII case and any run of blanks
+    assert fingerprint_of("É b c") != fingerprint_of("é b c")  # other letters keep their case
+    assert fingerprint_of("a b") != fingerprint_of("a b")           # U+00A0 is part of a word
+
+
+def test_links_in_crowded_neighbourhoods(spark):
+    rnd = random.Random(3)
+    centre = rnd.getrandbits(64)
+    fps = {centre} | {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(1, 7))) for _ in range(150)}
+    fps |= {rnd.getrandbits(64) for _ in range(100)} | {0, 2**64 - 1, 7, 15}
+    signed = sorted(f - 2**64 if f >= 2**63 else f for f in fps)
+    table = spark.createDataFrame([(f,) for f in signed], "fp long")
+    got = sorted(map(tuple, fingerprint_links(table).collect()))
+    want = [(a, b) for n, a in enumerate(signed) for b in signed[n + 1 :] if bin((a ^ b) & (2**64 - 1)).count("1") <= 3]
+    assert got == sorted(want)
+
+
+def test_connected_components(spark):
+    rnd = random.Random(8)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(60)]
+    edges += [(5, 5), (900, 901), (901, 900)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    want = components((a, b) for a, b in edges if a != b)
+    assert got == want
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []

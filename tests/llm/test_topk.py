@@ -1,0 +1,42 @@
+import math
+import random
+
+from hourgrid.llm.registry import QUERIES
+from hourgrid.llm.topk import top_k
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, vector array<double>"
+
+
+def brute(queries, candidates, k):
+    ok = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
+    floor = lambda v: [math.floor(256 * x) for x in v]
+    held = [(i, floor(v)) for i, v in candidates if i is not None and ok(v)]
+    out = []
+    for q, v in {(i, tuple(v)) for i, v in queries if i is not None and ok(v)}:
+        own = floor(v)
+        best = sorted((-sum(a * b for a, b in zip(own, w)), i) for i, w in held if i != q and len(w) == len(own))[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+def found(df):
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in df.collect())
+
+
+def test_query_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    assert found(QUERIES["op7_topk"](spark, SMALL)) == brute([r for r in rows if r[0] % 50 == 0], rows, 5)
+
+
+def test_ties_copies_and_unusable_vectors(spark):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.choice((-1.0, 0.0, 0.5)) for _ in range(3)]) for i in range(150)] + [(i, [0.5, 0.5, 0.5]) for i in range(200, 260)]
+    rows += [(300, None), (301, [1.0, None, 2.0]), (302, [float("nan"), 0.0, 0.0]), (303, [float("inf"), 0.0, 0.0]), (None, [1.0, 1.0, 1.0]),
+             (304, [1.0, 2.0]), (305, [2.0, 1.0]), (306, [9.0]), (307, []), (308, [])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    queries = df.where("vec_id % 3 = 0 OR vec_id >= 300").union(df.where("vec_id = 300"))
+    asked = [r for r in rows if r[0] is not None and (r[0] % 3 == 0 or r[0] >= 300)]
+    got = found(top_k(queries, df, k=5, query_block=20, candidate_block=40))
+    assert got == brute(asked, rows, 5)
+    assert found(top_k(df.where("false"), df)) == [] and found(top_k(df, df.where("false"))) == []
