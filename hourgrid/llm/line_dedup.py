@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_dimension
 from .common import connected_components, materialise, read_table
 from .tokens import mixed, slices
 
@@ -134,7 +135,7 @@ def posted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _line_texts(docs: DataFrame, lines: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(line_id, line) of the wanted line ids, cut out of one document each."""
-    place = lines.join(wanted, "line_id").groupBy("line_id").agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
+    place = join_dimension(lines, wanted, "line_id", how="left_semi").groupBy("line_id").agg(F.min(F.struct("doc_id", "text_key", "line_no")).alias("at"))
     held = place.groupBy("at.doc_id", "at.text_key").agg(F.collect_list(F.struct("at.line_no", "line_id")).alias("lines"))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     match = source.doc_id.eqNullSafe(held.doc_id) & (source.text_key == held.text_key)
@@ -243,11 +244,12 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     open_keys = materialise(named.join(several.select("band", "n"), "band"), "open-keys")
     extra = materialise(_links_in_keys(open_keys, texts, similarity), "links")
     parts = connected_components(links.union(extra))
-    whole = lines.select("doc_id", "text_key", "line_no", "line_id").join(
-        parts.withColumnRenamed("node", "line_id"), "line_id", "left"
-    ).select("doc_id", "text_key", "line_no", F.coalesce("component", "line_id").alias("part"))
+    # a line may be on a third of all rows: the joins below keep AQE free to split it
+    own = (F.col("line_id") == F.col("node")) & (F.xxhash64("line_id") == F.xxhash64("node"))
+    whole = lines.select("doc_id", "text_key", "line_no", "line_id").join(parts, own, "left").select(
+        "doc_id", "text_key", "line_no", F.coalesce("component", "line_id").alias("part"))
     kept = whole.groupBy("part").agg(F.min(F.struct("doc_id", "line_no", "text_key")).alias("kept"), F.count("*").alias("n")).filter("n > 1")
-    gone = whole.join(kept, "part").filter(
+    gone = join_dimension(whole, kept, "part").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no")) & (F.col("text_key") == F.col("kept.text_key"))))
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_dimension
 from .common import connected_components, materialise, read_table
 
 BLOCK = 1 << 16  # shingles whose bits are unpacked at a time
@@ -111,7 +112,8 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = linked.join(smallest, "component").select("fp", "component_id")
     group = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return marks.join(group, "fp").select(
+    # one fingerprint may be that of a third of all rows
+    return join_dimension(marks, group, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
