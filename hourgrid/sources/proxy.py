@@ -14,30 +14,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# ----------------------------------------------------------------------------
-# FIXED VALUES: item code cycles of the proxy tables (position = event_id % n)
-# ----------------------------------------------------------------------------
-CHART_ITEMS = (
-    211, 220045, 51, 442, 455, 6701, 220179, 220050, 8368, 8440, 8441, 8555, 220180,
-    220051, 456, 52, 6702, 443, 220052, 220181, 225312, 45037, 227543, 228178, 228370,
-    40909, 41946, 41717, 44970, 224842, 228369, 220088, 44920, 113, 220074, 1103, 618,
-    615, 220210, 224690, 646, 220277, 807, 811, 1529, 3745, 3744, 225664, 220621,
-    226537, 223762, 676, 223761, 678, 1,
-)
-LAB_ITEMS = (
-    50868, 50862, 51144, 50882, 50885, 50912, 50902, 50931, 51221, 51222, 50813, 51265,
-    50971, 51275, 51237, 51274, 50983, 51006, 51301, 51300, 50878, 50861, 50863, 50927,
-    50893, 50960, 50970, 50806,
-)
-INPUT_ITEMS = (
-    30018, 30020, 30143, 30160, 30168, 30353, 30352, 30296, 30321, 30186, 30185, 30021,
-    30159, 30009, 30008, 30011, 30012, 1,
-)
-OUTPUT_ITEMS = (
-    40055, 43175, 40069, 40094, 40715, 40473, 40085, 40057, 40056, 40405, 40428, 40086,
-    40096, 40651, 50055, 50056, 50057, 50069, 50085, 50096, 1,
-)
-# ----------------------------------------------------------------------------
+from ..functions import concepts as C
+
+# Item code cycles of the proxy tables (position = event_id % n): every item the
+# jobs know, and one they do not.
+CHART_ITEMS = (*C.vital_items(C.VITALS_10), 1)
+LAB_ITEMS = (*C.lab_items(), 50806)
+INPUT_ITEMS = (*(i for _, items in C.INPUT_SETS for i in items), 1)
+OUTPUT_ITEMS = (*dict.fromkeys(C.URINE_14 + C.URINE_11), 1)
 
 
 def _cycle_sql(items: tuple[int, ...]) -> str:

@@ -3,9 +3,8 @@
 usage: python tools/plans.py [sf_dir] [out.md]
 The eight clinical tables are derived once from ``events`` and written as
 Parquet to a fresh /tmp folder, then each job is planned over ``read_table``
-scans twice: with the defaults (small stay table -> broadcast), and with the
-large-data settings forced (no broadcast of stays, every key with more than 5
-rows salted, ranks by prefix sum).
+scans twice: with the defaults, and without broadcast joins, as with large stay
+tables.
 """
 
 from __future__ import annotations
@@ -76,17 +75,14 @@ def main() -> None:
             FE.outputs_hourly(t["icustays"], t["outputevents"])),
         "vitals_with_admission_labs_top100": lambda: VA.vitals_with_admission_labs(
             t["icustays"], t["chartevents"], t["admissions"], t["patients"],
-            FE.admission_labs(t["icustays"], t["labevents"]), limit=100),
+            t["labevents"], limit=100),
     }
-    large = {"spark.hourgrid.broadcastMaxBytes": "0", "spark.hourgrid.rowsPerTask": "5",
-             "spark.hourgrid.hotKeySampleFraction": "1.0", "spark.hourgrid.maxWindowRows": "0",
-             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    large = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
     parts = ["# Physical plans (compact)\n",
              "Generated by `tools/plans.py` over Parquet base tables (derived once from sf0.01 events). ",
              "Only exchanges, joins, scans, aggregates, windows, generators, sorts and limits are kept; ",
-             "`InMemoryTableScan` marks a table the job computes once and reads more than once ",
-             "(its own plan is not repeated there).\n"]
-    for mode, conf in (("defaults (stay table broadcast)", {}), ("large-data paths forced", large)):
+             "a scan of `hourgrid-...` reads a table that the job has stored in the shared folder.\n"]
+    for mode, conf in (("defaults", {}), ("no broadcast joins", large)):
         for k, v in conf.items():
             spark.conf.set(k, v)
         parts.append(f"\n## {mode}\n")
