@@ -31,6 +31,7 @@ SIMILARITY = 0.8
 CHUNK = 1 << 17  # characters hashed at a time
 BLOCK = 512  # lines of a block of a key's lines
 COLUMNS = 4096  # shingles of a matrix product
+FEW_PAIRS = 64  # up to here pairs are compared one by one
 
 _RNG = np.random.default_rng(11)
 _SCALE = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -84,16 +85,37 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def shingles(line: str) -> set[str]:
-    """The character shingles of a line; a shorter line is one shingle."""
-    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+def shingle_codes(lines: list[str]) -> list[np.ndarray]:
+    """The set of a line's character shingles, as sorted 64-bit codes; a line
+    shorter than a shingle is one shingle."""
+    found: list[np.ndarray] = []
+    for cut in slices(lines, CHUNK):
+        own = lines[cut]
+        chars = np.frombuffer(("".join(own) + "\0" * SHINGLE).encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+        h = np.zeros(len(chars) - SHINGLE + 1, np.uint64)
+        for i in range(SHINGLE):
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += chars[i : i + len(h)]
+        h = mixed(h)
+        at = 0
+        for line in own:
+            if len(line) < SHINGLE:
+                found.append(np.array([xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace"))], np.uint64))
+            else:
+                found.append(np.unique(h[at : at + len(line) - SHINGLE + 1]))
+            at += len(line)
+    return found
 
 
-def reaches(x: set[str], y: set[str], similarity: float) -> bool:
+def reaches(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     """Whether two shingle sets have at least that Jaccard similarity."""
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+    if len(x) > len(y):
+        x, y = y, x
+    if len(x) < similarity * len(y):
         return False
-    shared = len(x & y)
+    place = np.searchsorted(y, x)
+    place[place == len(y)] = 0
+    shared = int(np.count_nonzero(y[place] == x))
     return shared >= similarity * (len(x) + len(y) - shared)
 
 
@@ -149,7 +171,8 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        known = {line: shingles(line) for line in {*left, *right}}
+        lines = list({*left, *right})
+        known = dict(zip(lines, shingle_codes(lines), strict=True))
         return pd.Series([reaches(known[x], known[y], similarity) for x, y in zip(left, right, strict=True)], dtype=bool)
 
     left = texts.select(F.col("line_id").alias("a"), F.col("line").alias("left"))
@@ -157,8 +180,8 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(similar("left", "right")).select("a", "b")
 
 
-def joining_pairs(lines: list[str], parts: list[int], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Pairs of places (i in left, j in right) whose lines reach the similarity, as
+def joining_pairs(sets: list[np.ndarray], parts: list[int], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of places (i in left, j in right) whose sets reach the similarity, as
     many as it takes to join the parts that such pairs connect."""
     found: list[tuple[int, int]] = []
     parent = {p: p for p in parts}
@@ -169,29 +192,30 @@ def joining_pairs(lines: list[str], parts: list[int], left: np.ndarray, right: n
             p = parent[p]
         return p
 
-    sets = [shingles(line) for line in lines]
-    code: dict[str, int] = {}
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    column = np.array([code.setdefault(x, len(code)) for s in sets for x in s])
+    def join(i: int, j: int) -> None:
+        parent[root(parts[i])] = root(parts[j])
+        found.append((i, j))
+
+    if len(left) * len(right) <= FEW_PAIRS:
+        for i in left.tolist():
+            for j in right.tolist():
+                if root(parts[i]) != root(parts[j]) and reaches(sets[i], sets[j], similarity):
+                    join(i, j)
+        return found
     sizes = np.array([len(x) for x in sets])
+    codes, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = np.cumsum(count > 1) - 1  # only codes of two lines or more can be shared
+    row = np.repeat(np.arange(len(sets)), sizes)[count[column] > 1]
+    column = several[column[count[column] > 1]]
     shared = np.zeros((len(left), len(right)), np.float32)
-    place = np.full(len(sets), -1)
-    for at in range(0, len(code), COLUMNS):
-        own = (column >= at) & (column < at + COLUMNS)
-        sides = []
-        for side in (left, right):
-            place[:] = -1
-            place[side] = np.arange(len(side))
-            here = own & (place[row] >= 0)
-            matrix = np.zeros((len(side), COLUMNS), np.float32)
-            matrix[place[row[here]], column[here] - at] = 1
-            sides.append(matrix)
-        shared += sides[0] @ sides[1].T
+    for at in range(0, int((count > 1).sum()), COLUMNS):
+        here = (column >= at) & (column < at + COLUMNS)
+        matrix = np.zeros((len(sets), COLUMNS), np.float32)
+        matrix[row[here], column[here] - at] = 1
+        shared += matrix[left] @ matrix[right].T
     for i, j in np.argwhere(shared >= similarity * (sizes[left][:, None] + sizes[right][None, :] - shared)).tolist():
-        a, b = root(parts[left[i]]), root(parts[right[j]])
-        if a != b:
-            parent[a] = b
-            found.append((int(left[i]), int(right[j])))
+        if root(parts[left[i]]) != root(parts[right[j]]):
+            join(int(left[i]), int(right[j]))
     return found
 
 
@@ -211,10 +235,12 @@ def _links_in_keys(members: DataFrame, texts: DataFrame, similarity: float) -> D
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
+        lines = list(set(frame["line"]))
+        known = dict(zip(lines, shingle_codes(lines), strict=True))
         for (_, i, j), rows in frame.groupby(["band", "i", "j"], sort=False):
             block, ids = rows["block"].to_numpy(), rows["line_id"].to_numpy()
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            out += [(ids[x], ids[y]) for x, y in joining_pairs(rows["line"].tolist(), rows["part"].tolist(), left, right, similarity)]
+            out += [(ids[x], ids[y]) for x, y in joining_pairs([known[x] for x in rows["line"]], rows["part"].tolist(), left, right, similarity)]
         return pd.DataFrame({"a": [int(x) for x, _ in out], "b": [int(y) for _, y in out]}, dtype="int64")
 
     return dealt.groupBy("task").applyInPandas(compare, "a long, b long").distinct()
@@ -243,7 +269,7 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q")
     open_keys = materialise(named.join(several.select("band", "n"), "band"), "open-keys")
     extra = materialise(_links_in_keys(open_keys, texts, similarity), "links")
-    parts = connected_components(links.union(extra))
+    parts = connected_components(parts.selectExpr("node AS a", "component AS b").union(extra))
     # a line may be on a third of all rows: the joins below keep AQE free to split it
     own = (F.col("line_id") == F.col("node")) & (F.xxhash64("line_id") == F.xxhash64("node"))
     whole = lines.select("doc_id", "text_key", "line_no", "line_id").join(parts, own, "left").select(

@@ -1,8 +1,10 @@
 import random
 
-from hourgrid.llm.line_dedup import SHINGLE, SIMILARITY, dedup_lines, duplicate_lines, joining_pairs
-from hourgrid.llm.registry import QUERIES
 import numpy as np
+import pytest
+
+from hourgrid.llm.line_dedup import SHINGLE, SIMILARITY, dedup_lines, duplicate_lines, joining_pairs, shingle_codes
+from hourgrid.llm.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -81,8 +83,15 @@ def test_edges(spark, edge_docs, no_docs):
     assert duplicate_lines(no_docs).collect() == [] and dedup_lines(no_docs).collect() == []
 
 
-def test_joining_pairs_connects_what_all_pairs_connect():
-    lines = ["a" * 30 + x for x in ("", "b", "bc")] + ["q" * 9, "other text of some length", "other text of some lengths"]
-    pairs = joining_pairs(lines, list(range(6)), np.arange(6), np.arange(6), 0.8)
+@pytest.mark.parametrize("few", [0, 64])
+def test_joining_pairs_connects_what_all_pairs_connect(monkeypatch, few):
+    from hourgrid.llm import line_dedup as L
+
+    monkeypatch.setattr(L, "FEW_PAIRS", few)
+    monkeypatch.setattr(L, "COLUMNS", 16)
+    lines = ["a" * 30 + x for x in ("", "b", "bc")] + ["q" * 9, "other text of some length", "other text of some lengths", "short", "short"]
+    pairs = joining_pairs(shingle_codes(lines), list(range(8)), np.arange(8), np.arange(8), 0.8)
     joined = {frozenset(p) for p in pairs}
-    assert {4, 5} in joined and not any(3 in p for p in joined)
+    assert {4, 5} in joined and {6, 7} in joined and not any(3 in p for p in joined)
+    want = {frozenset((i, j)) for i in range(8) for j in range(i) if len(grams(lines[i]) & grams(lines[j])) >= 0.8 * len(grams(lines[i]) | grams(lines[j]))}
+    assert joined <= want and [len(x) for x in shingle_codes(lines)] == [len(grams(x)) for x in lines]
