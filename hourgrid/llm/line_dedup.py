@@ -237,10 +237,15 @@ def _links_in_keys(members: DataFrame, texts: DataFrame, similarity: float) -> D
         out: list[tuple[int, int]] = []
         lines = list(set(frame["line"]))
         known = dict(zip(lines, shingle_codes(lines), strict=True))
-        for (_, i, j), rows in frame.groupby(["band", "i", "j"], sort=False):
-            block, ids = rows["block"].to_numpy(), rows["line_id"].to_numpy()
-            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            out += [(ids[x], ids[y]) for x, y in joining_pairs([known[x] for x in rows["line"]], rows["part"].tolist(), left, right, similarity)]
+        frame = frame.sort_values(["band", "i", "j"])
+        keys = frame[["band", "i", "j"]].to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
+        block, ids, parts = (frame[c].to_numpy() for c in ("block", "line_id", "part"))
+        sets = [known[x] for x in frame["line"]]
+        for at, to in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            left, right = np.flatnonzero(block[at:to] == keys[at, 1]), np.flatnonzero(block[at:to] == keys[at, 2])
+            pairs = joining_pairs(sets[at:to], parts[at:to].tolist(), left, right, similarity)
+            out += [(ids[at + x], ids[at + y]) for x, y in pairs]
         return pd.DataFrame({"a": [int(x) for x, _ in out], "b": [int(y) for _, y in out]}, dtype="int64")
 
     return dealt.groupBy("task").applyInPandas(compare, "a long, b long").distinct()
