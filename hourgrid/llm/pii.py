@@ -1,18 +1,22 @@
 """Personal data: base patterns and information-theoretic sanitisation.
 
 Base entities (e-mail, IP, card and phone numbers) are found by pattern.  The
-corpus then tells how strongly a term in the neighbourhood of an entity reveals
-it: with document frequencies, the disclosure of entity e by term t is
+corpus then tells how strongly a term that shares documents with an entity
+reveals it: with document frequencies, the disclosure of entity e by term t is
 PMI(e; t) / IC(e), which is 1 when the term occurs in no other document.  Terms
-at or beyond a threshold are generalised, and removed when they disclose the
-entity fully.  Everything is DataFrame functions; no Python runs on executors.
+at or beyond a threshold are generalised wherever they occur in the documents
+that hold the entity, and removed when they disclose it fully.  Everything is
+DataFrame functions; no Python runs on executors.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_dimension
 from .common import materialise, read_table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -28,15 +32,14 @@ PATTERNS = {
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 TERM = r"\p{L}+"
 TERM_KIND = len(KINDS)  # sorts behind the base kinds
-WINDOW = 96  # code points on either side of an entity, within its line
 LEAST_LETTERS = 3
-SUPPORT = 2  # documents in which entity and term must meet
+SUPPORT = 2  # documents that must hold both entity and term
 THRESHOLD = 0.9
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of the pattern's matches, in code points:
-    the lengths of the matches and of the gaps between them add up."""
+def _spans(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, end, value>> of the pattern's (wanted) matches, in code
+    points: the lengths of the matches and of the gaps between them add up."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
@@ -44,8 +47,9 @@ def _spans(text: Column, pattern: str) -> Column:
     def add(state: Column, part: Column) -> Column:
         start = state["at"] + part["gap"]
         end = start + F.length(part["hit"])
-        found = F.struct(start.alias("start"), end.alias("end"), part["hit"].alias("value"))
-        return F.when(part["hit"].isNull(), state).otherwise(F.struct(end.alias("at"), F.concat(state["out"], F.array(found)).alias("out")))
+        out = F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), part["hit"].alias("value"))))
+        out = F.when(wanted(part["hit"]), out).otherwise(state["out"]) if wanted else out
+        return F.when(part["hit"].isNull(), state).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
     walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda state: state["out"])
     return F.when(F.size(hits) == 0, none).otherwise(walked)
@@ -87,55 +91,63 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(n, kind) for n, kind in enumerate(KINDS)]))
 
 
-def _context(text: Column, span: Column, window: int) -> Column:
-    """array<struct<entity, term, start, end>>: the letter runs around a base span,
-    on its line, within the window (no run cut by the window's edge)."""
-    entity = F.concat(span["kind"].cast("string"), F.lit(":"), F.lower(span["value"]))
-    before = F.substring(text, F.greatest(span["start"] + 1 - window, F.lit(1)), F.least(span["start"], F.lit(window)))
-    before = F.when(span["start"] > window, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    before = F.regexp_extract(before, r"[^\n]*$", 0)
-    after = F.regexp_extract(F.substring(text, span["end"] + 1, F.lit(window)), r"^[^\n]*", 0)
-    after = F.when(F.length(after) == window, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
+def _terms(text: Column) -> Column:
+    """array<string> of the distinct letter runs of a text, in lower case."""
+    runs = F.transform(F.split(text, r"[^\p{L}]+", -1), lambda run: F.lower(run))
+    return F.array_distinct(F.filter(runs, lambda run: F.length(run) >= LEAST_LETTERS))
+
 
-    def named(side: Column, offset: Column) -> Column:
-        return F.transform(_spans(side, TERM), lambda t: F.struct(
-            entity.alias("entity"), F.lower(t["value"]).alias("term"), (t["start"] + offset).alias("start"), (t["end"] + offset).alias("end")))
+def _term_spans(text: Column, base: Column, terms: Column) -> Column:
+    """array<struct<start, kind, end, disclosure>> of every occurrence of the terms
+    (map<term, disclosure>) that overlaps no base span."""
+    found = _spans(text, TERM, lambda run: F.map_contains_key(terms, F.lower(run)))
+    free = F.filter(found, lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    return F.transform(free, lambda t: F.struct(
+        t["start"].alias("start"), F.lit(TERM_KIND).alias("kind"), t["end"].alias("end"), F.element_at(terms, F.lower(t["value"])).alias("disclosure")))
 
-    both = F.concat(named(before, span["start"] - F.length(before)), named(after, span["end"]))
-    return F.filter(both, lambda t: F.length(t["term"]) >= LEAST_LETTERS)
 
+def _disclosure(total: int, n_both: Column) -> Column:
+    """PMI / IC from the numbers of rows; 0 for an entity of all rows."""
+    pmi = F.log2(n_both * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term").cast("double")))
+    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    return F.when(content > 0, pmi / content).otherwise(0.0)
 
-def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, window: int = WINDOW,
+
+def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT,
                        id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """(doc_id, base, terms[, text]) per row of ``docs``.
 
     ``base`` is array<struct<start, kind, end, value>> of the base entities and
-    ``terms`` array<struct<start, kind, end, disclosure>> of the disclosing terms,
-    which overlap no base entity; positions are code points, ends exclusive.
-    Counts cover all rows; a repeated row counts like any other.  Null and empty
-    texts have no spans, and an empty table gives an empty result."""
+    ``terms`` array<struct<start, kind, end, disclosure>> of all occurrences of the
+    terms that disclose an entity of the row, which overlap no base entity;
+    positions are code points, ends exclusive.  Entities, terms and their meetings
+    are counted over whole rows, and all rows count; a repeated row counts like any
+    other.  Null and empty texts have no spans, and an empty table gives an empty
+    result."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = rows.withColumn("base", base_spans(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
-    near = F.flatten(F.transform("base", lambda s: _context(F.col("text"), s, window)))
-    free = F.filter(near, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    near = F.when(F.size("base") > 0, free).otherwise(F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>"))
-    found = materialise(found.select("row", "doc_id", "base", near.alias("near"), *(["text"] if with_text else [])), "entities")
+    text = F.col("text") if with_text else F.when(F.size("base") > 0, F.col("text"))
+    found = materialise(found.select("row", "doc_id", "base", text.alias("text")), "entities")
     total = found.count()
-    meet = found.select("row", F.inline("near"))
-    both = meet.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    both = materialise(both, "pairs")
     entity = F.concat(F.col("s.kind").cast("string"), F.lit(":"), F.lower("s.value"))
-    entities = found.select("row", F.explode("base").alias("s")).select("row", entity.alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1))).alias("term"))
-    terms = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term").cast("double")))
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    disclosing = both.join(entities, "entity").join(terms, "term").withColumn(
-        "disclosure", F.when(content > 0, pmi / content).otherwise(0.0)).filter(F.col("disclosure") >= threshold)
-    hits = meet.join(disclosing.select("entity", "term", "disclosure"), ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    spans = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", F.lit(TERM_KIND).alias("kind"), "end", "disclosure"))).alias("terms"))
+    held = found.select("row", F.explode("base").alias("s")).select("row", entity.alias("entity")).distinct()
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
+    lists = join_dimension(held, entities, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held"))
+    terms = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= support)
+    words = found.filter(F.size("base") > 0).join(lists, "row").select("row", "held", F.explode(_terms(F.col("text"))).alias("term"))
+    pairs = join_dimension(words, terms, "term").select("row", "term", "n_term", F.inline("held"))
+    # no pair meets more often than its rarer side occurs, so the others cannot reach the threshold
+    most = _disclosure(total, F.least("n_entity", "n_term"))
+    pairs = materialise(pairs.filter(most >= threshold - 1e-9), "pairs")
+    both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
+    disclosing = both.withColumn("disclosure", _disclosure(total, F.col("n_both"))).filter(F.col("disclosure") >= threshold)
+    pair = F.struct("entity", "term").alias("pair")
+    hits = join_dimension(pairs.select("row", "term", pair), disclosing.select(pair, "disclosure"), "pair")
+    best = hits.groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+    wanted = best.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("wanted"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,disclosure:double>>")
-    return found.drop("near").join(spans, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
+    spans = F.when(F.col("wanted").isNull(), none).otherwise(_term_spans(F.col("text"), F.col("base"), F.col("wanted")))
+    return found.join(wanted, "row", "left").select("doc_id", "base", *(["text"] if with_text else []), spans.alias("terms"))
 
 
 def sanitised_text() -> Column:

@@ -64,6 +64,23 @@ def test_terms_that_disclose_an_entity(spark):
     assert clean[4] == texts[4]
 
 
+def test_terms_are_counted_and_replaced_over_whole_documents(spark):
+    far = "\n".join(f"some plain line {'abcdefghij'[i % 10]}" for i in range(40))
+    filler = [(100 + i, f"the plain report number {'abcdefghij'[i % 10]} of the day") for i in range(60)]
+    docs = filler + [(1, f"Zebedee Quill\nzeb@mail.org\n{far}\nsigned ZEBEDEE"), (2, f"zeb@mail.org\n{far}\nZebedee left"), (3, f"{far}\nnothing here"),
+                     (4, "Quentin wrote from one@mail.org"), (5, "Quentin wrote"), (6, f"Ümit \U0001f600 and\n{far}\nu@mail.org, ümit@x"), (7, f"u@mail.org {far} ÜMIT")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in find_personal_data(df).collect()}
+    texts = dict(docs)
+    term = lambda i: [texts[i][t["start"] : t["end"]] for t in rows[i]["terms"]]
+    assert term(1) == ["Zebedee", "ZEBEDEE"] and term(2) == ["Zebedee"]         # the line above, and far away
+    assert term(6) == ["Ümit", "ümit"] and term(7) == ["ÜMIT"]
+    assert not any(rows[i]["terms"] for i in (3, 4, 5)) and not any(rows[i]["terms"] for i, _ in filler)
+    clean = {r["doc_id"]: r["text"] for r in sanitise(df).collect()}
+    assert all("zebedee" not in clean[i].lower() for i in (1, 2)) and clean[1].startswith(" Quill\n[email]\n")
+    assert {r["doc_id"]: len(r["terms"]) for r in find_personal_data(df, with_text=False).collect()} == {i: len(r["terms"]) for i, r in rows.items()}
+
+
 def test_edges(spark, edge_docs, no_docs):
     rows = find_personal_data(edge_docs).collect()
     assert len(rows) == edge_docs.count() and not any(r["base"] for r in rows)
