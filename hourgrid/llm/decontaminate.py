@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Fixed masks over a window of words ignore some positions, so a benchmark
-passage with substituted words still shares a masked hash with its original.
+Masks over a window of words ignore some positions, so a benchmark passage with
+substituted words still shares a masked hash with its original: for every choice
+of words that a verified overlap may substitute, some mask ignores them all.
 Masked hashes of the benchmark are looked up while the documents are scanned;
 each hit is verified by aligning the benchmark item with the document.
 """
@@ -9,6 +10,8 @@ each hit is verified by aligning the benchmark item with the document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -18,15 +21,34 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .tokens import mixed, slices, word_hashes
 
-#: Masks over a span of 12 words, 1 = compared.
-MASKS = ("111111100000", "110110110010", "101011010101", "010101101011", "000001111111", "111001011001")
-SPAN = 12
+SPAN = 12  # least words that the masks of longer items span
 WINDOW = 16  # words of a verified overlap; shorter items: the whole item
 SHARE = 0.8  # of the window's words that must agree
 LEAST_WORDS = 5  # items of fewer words are never looked for
 CHUNK_CHARS = 4_000_000  # benchmark text that is looked up in one pass
 
-_FACTORS = mixed(np.arange(1, SPAN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FACTORS = mixed(np.arange(1, WINDOW + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def allowed(size: int) -> int:
+    """Words of a verified overlap of ``size`` words that may be substituted."""
+    return max(k for k in range(size + 1) if size - k >= SHARE * size)
+
+
+def seed_span(words: int) -> int:
+    """Words that the masks of an item of so many words span: an item allows no
+    more substitutions than its span does, so its first span is covered."""
+    size = min(words, WINDOW)
+    return next(s for s in range(SPAN if size >= SPAN else size, size + 1) if allowed(s) == allowed(size))
+
+
+@lru_cache(maxsize=64)
+def masks(span: int) -> tuple[str, ...]:
+    """Masks over ``span`` words, 1 = compared.  With k substitutions allowed the
+    places are dealt into k + 2 groups, and each choice of k groups is ignored by
+    one mask: any k substitutions lie in k groups at most."""
+    k = allowed(span)
+    return tuple("".join("0" if i % (k + 2) in groups else "1" for i in range(span)) for groups in combinations(range(k + 2), k))
 
 
 def masked_hashes(words: np.ndarray, mask: str, seed: int) -> np.ndarray:
@@ -48,12 +70,11 @@ class SeedIndex:
         self.ids = [i for i, _ in items]
         self.items = [word_hashes([t])[0] for _, t in items]
         kept = [n for n, w in enumerate(self.items) if len(w) >= LEAST_WORDS]
-        #: An item shorter than the span is looked up as a whole, unmasked.
-        short = sorted({len(self.items[n]) for n in kept if len(self.items[n]) < SPAN})
-        self.seeds = [(m, 1 + k) for k, m in enumerate(MASKS)] + [("1" * n, 100 + n) for n in short]
+        spans = sorted({seed_span(len(self.items[n])) for n in kept})
+        self.seeds = [(m, 100 * span + k) for span in spans for k, m in enumerate(masks(span))]
         self.tables = []
         for mask, seed in self.seeds:
-            own = [n for n in kept if (len(self.items[n]) >= SPAN if seed < 100 else len(self.items[n]) == len(mask))]
+            own = [n for n in kept if seed_span(len(self.items[n])) == len(mask)]
             hashes = [masked_hashes(self.items[n], mask, seed) for n in own]
             h = np.concatenate([np.zeros(0, np.uint64), *hashes])
             item = np.concatenate([np.zeros(0, np.int64), *[np.full(len(x), n) for n, x in zip(own, hashes, strict=True)]])

@@ -49,6 +49,28 @@ def test_substitutions_short_items_and_clean_texts(spark):
         assert got[20] == [50] and got[21] == got[22] == got[23] == got[24] == got[25] == [] and got[26] == [4]
 
 
+def test_every_allowed_substitution_is_found():
+    """All choices of substituted words that the check accepts, at each length."""
+    from itertools import combinations
+
+    from hourgrid.llm.decontaminate import SeedIndex
+    from hourgrid.llm.tokens import word_hashes
+
+    for n in (*range(5, 19), 24):
+        item = RND.sample(WORDS, n)
+        index, size = SeedIndex([(7, " ".join(item))]), min(n, 16)
+        most = max(k for k in range(size) if size - k >= 0.8 * size)
+        for at in range(n - size + 1):
+            texts = []
+            for k in range(most + 2):
+                for gone in combinations(range(size), k):
+                    words = ["q"] * at + item[at : at + size] + ["q"] * (n - size - at)
+                    texts += [" ".join(["lead", *("zz" if i - at in gone else w for i, w in enumerate(words)), "tail"])]
+            found = index.hits(*word_hashes(texts))
+            accepted = [t.split().count("zz") <= most for t in texts]
+            assert [(i, 7) in found for i in range(len(texts))] == accepted, n
+
+
 def test_chunked_benchmark_and_edges(spark, edge_docs, no_docs, monkeypatch):
     from hourgrid.llm import decontaminate as D
 
