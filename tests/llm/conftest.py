@@ -2,7 +2,8 @@ import pytest
 
 SF_SMALL = "/root/testdata/sf0.001"  # the same in both conftest modules, which share a name
 #: Names the operators use inside, as extra columns of the input.
-CLASHES = ("fp", "band", "line_id", "text_key", "row", "base", "near", "block", "part", "score", "slot", "host", "term", "items", "__id", "posting")
+CLASHES = ("fp", "band", "line_id", "text_key", "row", "base", "near", "block", "part", "score", "slot", "host", "term", "items", "__id", "posting", "tree", "place", "size", "path",
+           "digest", "leaf", "packer", "piece", "cluster", "item", "word")
 LONG = " ".join(f"word{i % 997} tail{i}" for i in range(30000))
 
 

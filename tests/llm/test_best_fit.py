@@ -1,0 +1,109 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from hourgrid.llm.best_fit import OpenBins, best_fit, best_fit_documents
+from hourgrid.llm.common import materialise
+from hourgrid.llm.packing import default_tokenizer
+from hourgrid.llm.registry import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def ids_of(text):
+    coder = Tokenizer.from_file(default_tokenizer())
+    return np.array(coder.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+
+
+def check(rows, docs, sequence=2048):
+    """Pieces hold every id once, cuts fall at multiples of the sequence only, and
+    sequences are gapless; the share of places that is used."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    for i, text in docs:
+        ids = ids_of(text)
+        pieces = sorted(by_doc[i], key=lambda r: r["piece"])
+        assert [(r["piece"], r["start"]) for r in pieces] == [(n, n * sequence) for n in range(-(-len(ids) // sequence))]
+        for r in pieces:
+            own = ids[r["start"] : r["start"] + sequence]
+            assert r["length"] == len(own) and r["ids_crc32"] == zlib.crc32(own.tobytes())
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= sequence
+    return sum(r["length"] for r in rows) / (sequence * len(by_sequence))
+
+
+def test_query_round_trip_and_few_sequences(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    rows = QUERIES["op11_best_fit"](spark, SMALL).collect()
+    assert {r["doc_id"] for r in rows} == {i for i, _ in docs}
+    assert check(rows, docs) > 0.97
+
+
+def test_edges(spark, edge_docs, no_docs):
+    found = best_fit_documents(edge_docs)
+    rows = found.collect()
+    docs = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+    check(rows, [d for d in docs if d[0] not in (7, None)])   # ids 7 and null are on two rows each
+    assert sum(r["doc_id"] == 7 for r in rows) == 2 and sum(r["doc_id"] is None for r in rows) == 2
+    for r in rows:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+    assert [r["ids"] for r in rows if r["doc_id"] in (1, 2, 3)] == [[0]] * 3
+    assert best_fit_documents(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_open_bins_equal_a_search_of_all_open_bins(most):
+    rnd = random.Random(most)
+    bins, free, made = OpenBins(64, most), {}, 0
+    for need in [rnd.choice([rnd.randrange(1, 65), rnd.randrange(1, 9), 64]) for _ in range(3000)]:
+        got, offset = bins.put(need)
+        fitting = [f for f in free.values() if f >= need]
+        if fitting:
+            assert free[got] == min(fitting) and offset == 64 - free[got]   # the fullest that fits
+        else:
+            assert (got, offset) == (made, 0)
+            made += 1
+            if need < 64 and len(free) == most:
+                least = min(free.values())
+                closed = {b for b in free if free[b] == least} - {b for held in bins.by_free for b in held}
+                assert len(closed) == 1                                      # the fullest closes
+                del free[closed.pop()]
+            free[got] = 64
+        free[got] -= need
+        if not free[got]:
+            del free[got]
+        assert len(free) == bins.open <= most
+        assert {b: f for f, held in enumerate(bins.by_free) for b in held} == free
+        assert bins.mask == sum(1 << f for f in set(free.values()))
+
+
+def test_wrong_sizes_are_refused():
+    for need in (0, 65):
+        with pytest.raises(ValueError):
+            OpenBins(64, 2).put(need)
+    with pytest.raises(ValueError):
+        OpenBins(64, 0)
+
+
+def test_many_packers_are_even_and_repeat(spark):
+    """Pieces of one length and one document spread over all packers."""
+    pieces = spark.range(20000).select(F.lit(1).alias("doc_id"), F.lit(700).cast("long").alias("length"), F.abs(F.xxhash64("id")).alias("slot"))
+    stored = materialise(pieces, "test-pieces")
+    packed = best_fit(stored, 2048, open_bins=16, look_ahead=64, group_pieces=1000)
+    bins = packed.groupBy("sequence_id").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("offset")).alias("offsets")).collect()
+    assert all(r["offsets"] == [0, 700][: r["n"]] for r in bins) and sum(r["n"] for r in bins) == 20000
+    packers = packed.groupBy((F.col("sequence_id") / 2**32).cast("long").alias("p")).count().collect()
+    assert len(packers) == 20 and max(r["count"] for r in packers) < 1300
+    assert len(bins) <= 10000 + 16 * 20
+    assert sorted(packed.collect()) == sorted(best_fit(stored, 2048, open_bins=16, look_ahead=64, group_pieces=1000).collect())
