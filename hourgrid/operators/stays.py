@@ -34,9 +34,8 @@ def first_flag(rank: Column) -> Column:
 def with_stay_ranks(stays: DataFrame, subject_col: str = "subject_id", hadm_col: str = "hadm_id") -> DataFrame:
     """hospstay_seq / first_hosp_stay (dense rank of admittime per subject) and
     icustay_seq / first_icu_stay (dense rank of intime per admission); NULL
-    times sort last.  The largest patient / admission is measured first: a
-    window when it fits one task, else position arithmetic over a distributed
-    prefix sum (``plans.ranking``)."""
+    times sort last.  The stays are stored once, and numbered by sorted blocks
+    (``plans.ranking``)."""
     ranked = with_dense_ranks(stays, [(subject_col, "admittime", "hospstay_seq"),
                                       (hadm_col, "intime", "icustay_seq")])
     return ranked.withColumns({"first_hosp_stay": first_flag(F.col("hospstay_seq")),

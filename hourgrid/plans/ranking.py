@@ -1,42 +1,34 @@
 """Dense ranks of times within groups, without a window over a whole group.
 
 ``with_dense_ranks`` adds ``dense_rank() OVER (PARTITION BY g ORDER BY v ASC
-NULLS LAST)`` columns for timestamps ``v``.  A window partition is one task, and
-nothing bounds the rows of a group, so the rank is put together from two windows
-that the calendar bounds:
-
-* within one group and day, the distinct times are numbered (a day has 86,400
-  seconds);
-* within one group, the days' counts are summed up in order (a group has as many
-  rows here as it has days).
-
-NULL times are one more "day" behind all others.  NULL groups are a group of
-their own, as in the window; every join is null-safe.
+NULLS LAST)`` columns.  The rows are stored once; the distinct (group, time)
+pairs of all wanted ranks are numbered together by sorted blocks
+(``numbering.number_within``), so no window sees more than one row per block of a
+group, whatever the resolution of the times, and the plan under the rows runs
+once.  NULL times come last and NULL groups are a group of their own, as in the
+window; every join is null-safe.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from functools import reduce
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def _dense_ranks(df: DataFrame, group_col: str, order_col: str, out_col: str) -> DataFrame:
-    pairs = df.select(F.col(group_col).alias("__g"), F.col(order_col).alias("__v")).distinct()
-    pairs = pairs.withColumn("__day", F.to_date("__v"))
-    in_day = Window.partitionBy("__g", "__day").orderBy("__v")
-    placed = pairs.withColumn("__place", F.row_number().over(in_day))
-    before = (Window.partitionBy("__gd").orderBy(F.col("__dd").asc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    days = (pairs.groupBy(F.col("__g").alias("__gd"), F.col("__day").alias("__dd")).agg(F.count(F.lit(1)).alias("__n"))
-            .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
-    ranks = placed.join(days, F.col("__g").eqNullSafe(F.col("__gd")) & F.col("__day").eqNullSafe(F.col("__dd")))
-    ranks = ranks.select("__g", "__v", (F.col("__before") + F.col("__place")).cast("bigint").alias(out_col))
-    same = F.col(group_col).eqNullSafe(F.col("__g")) & F.col(order_col).eqNullSafe(F.col("__v"))
-    return df.join(ranks, same).drop("__g", "__v")
+from ..sources.shared import materialise
+from .numbering import number_within
 
 
 def with_dense_ranks(df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFrame:
     """``specs``: (partition column, timestamp column, output column) triples."""
-    for group_col, order_col, out_col in specs:
-        df = _dense_ranks(df, group_col, order_col, out_col)
-    return df
+    rows = materialise(df, "ranked-rows")
+    pairs = reduce(DataFrame.union, [
+        rows.select(F.lit(n).alias("__k"), F.col(group).cast("string").alias("__g"), F.col(time).alias("__v"))
+        for n, (group, time, _) in enumerate(specs)])
+    places = number_within(pairs.distinct(), ["__k", "__g"], ["__v"], "__place")
+    for n, (group, time, out) in enumerate(specs):
+        own = places.where(F.col("__k") == F.lit(n)).select("__g", "__v", F.col("__place").alias(out))
+        same = F.col(group).cast("string").eqNullSafe(F.col("__g")) & F.col(time).eqNullSafe(F.col("__v"))
+        rows = rows.join(own, same).drop("__g", "__v")
+    return rows

@@ -8,9 +8,10 @@ Plan shape, all grains explicit:
   global offset of the stay's vitals-less rows (``plans.numbering``).
 * **stay-hour grain** - the cohort is generated from the stay rows by
   ``explode(sequence(0, n))`` so every stay attribute rides along without a
-  join at the hourly grain; then one left join per feature table on
-  (icustay_id, hour).  The feature tables are aggregates hash-partitioned on
-  that key, so the spine is shuffled once and the four joins reuse it.
+  join at the hourly grain.  The feature tables are united and grouped once on
+  (icustay_id, hour), and the spine meets them in one left join
+  (``merged_features``).  Stored, bucketed feature tables are joined one by one
+  instead, without moving them (``stored_summary``).
 * the final ``orderBy`` is a range-partitioned sort (no single task).
 
 ``rn`` reproduces ``ROW_NUMBER() OVER (PARTITION BY <vitals stay id> ORDER BY
@@ -23,13 +24,15 @@ sees more than one stay's rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import concepts as C
 from ..operators.cohort import with_last_hour
 from ..operators.stays import demographics, stay_frame, with_stay_ranks
-from ..sources.shared import materialise
+from ..sources.shared import materialise, side_by_side
 from .numbering import exclusive_prefix_sum
 
 ORDER = ["subject_id", "hadm_id", "icustay_id"]
@@ -67,6 +70,29 @@ def attach(spine: DataFrame, feature: DataFrame, cols: list[str], rename: dict |
     return spine.join(f, ["icustay_id", "co_hr"], "left")
 
 
+def merged_features(parts: list[tuple[DataFrame, list[str], dict]]) -> DataFrame:
+    """One wide row per (icustay_id, hr) that any of the feature tables holds, from
+    (table, columns, renames) parts; ``__vitals`` tells whether the first one does.
+
+    The tables are one union with the other tables' columns NULL and are grouped
+    once, so the spine meets all of them in one join.  A table has one row per key:
+    the maximum is that row's value."""
+    wide = []
+    for n, (table, cols, rename) in enumerate(parts):
+        wide.append(table.select("icustay_id", "hr", F.lit(n == 0).alias("__vitals"), *[F.col(c).alias(rename.get(c, c)) for c in cols]))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wide)
+    return union.groupBy("icustay_id", "hr").agg(*[F.max(c).alias(c) for c in union.columns if c not in ("icustay_id", "hr")])
+
+
+def _merged_summary(icustays: DataFrame, admissions: DataFrame, patients: DataFrame, parts: list[tuple[DataFrame, list[str], dict]]) -> DataFrame:
+    """The spine with the merged feature tables; the first part holds the vitals."""
+    stays, merged = side_by_side(
+        icustays.sparkSession, lambda: _stays(icustays, admissions, patients),
+        lambda: materialise(merged_features(parts), "features"))  # read twice: the vitals' hours, and all columns
+    spine = numbered_spine(stays, merged.where("__vitals").select("icustay_id", "hr"))
+    return attach(spine, merged, [c for c in merged.columns if c not in ("icustay_id", "hr", "__vitals")])
+
+
 def _head() -> list:
     return ["subject_id", "hadm_id", "icustay_id", "age", "gender",
             F.col("admittime").alias("hospital_admission"), F.col("dischtime").alias("hospital_discharge"),
@@ -82,21 +108,27 @@ INPUT_COLS = [n for n, _ in C.INPUT_SETS] + ["in_total"]
 OUTPUT_COLS = ["out_urine", "out_total"]
 
 
+def _summary_rows(rows: DataFrame) -> DataFrame:
+    return (rows.orderBy(*ORDER, "co_hr")
+            .select(*_head(), *SUMMARY_VITALS, *C.LAB_OUTPUT_ORDER, *INPUT_COLS, *OUTPUT_COLS, *_tail()))
+
+
 def hourly_summary(icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
-                   vitals: DataFrame, labs: DataFrame, inputs: DataFrame, outputs: DataFrame, *,
-                   stored: bool = False) -> DataFrame:
+                   vitals: DataFrame, labs: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """JOB-6: one row per cohort hour with demographics, vitals, labs, fluids
-    and stay order (63 columns), ordered by subject, admission, stay, hour.
-    ``stored``: the vitals are a stored table, not a plan over the events."""
-    if not stored:
-        vitals = materialise(vitals, "vitals")  # read twice: its hours, and its columns
-    spine = numbered_spine(_stays(icustays, admissions, patients), vitals)
-    out = attach(spine, vitals, SUMMARY_VITALS)
-    out = attach(out, labs, list(C.LAB_OUTPUT_ORDER))
-    out = attach(out, inputs, INPUT_COLS)
-    out = attach(out, outputs, OUTPUT_COLS)
-    return (out.orderBy(*ORDER, "co_hr")
-            .select(*_head(), *SUMMARY_VITALS, *C.LAB_OUTPUT_ORDER, *INPUT_COLS, *OUTPUT_COLS, *_tail()))
+    and stay order (63 columns), ordered by subject, admission, stay, hour."""
+    return _summary_rows(_merged_summary(icustays, admissions, patients, [
+        (vitals, SUMMARY_VITALS, {}), (labs, list(C.LAB_OUTPUT_ORDER), {}), (inputs, INPUT_COLS, {}), (outputs, OUTPUT_COLS, {})]))
+
+
+def stored_summary(icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
+                   vitals: DataFrame, labs: DataFrame, inputs: DataFrame, outputs: DataFrame) -> DataFrame:
+    """JOB-6 over stored feature tables, each joined as it lies there: where they
+    are bucketed by (icustay_id, hr), only the spine moves."""
+    out = numbered_spine(_stays(icustays, admissions, patients), vitals)
+    for table, cols in ((vitals, SUMMARY_VITALS), (labs, list(C.LAB_OUTPUT_ORDER)), (inputs, INPUT_COLS), (outputs, OUTPUT_COLS)):
+        out = attach(out, table, cols)
+    return _summary_rows(out)
 
 
 def one_pass_summary(icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
@@ -107,11 +139,9 @@ def one_pass_summary(icustays: DataFrame, admissions: DataFrame, patients: DataF
     averages equal the per-side hourly averages used here (aggregate before
     joining, no product).  Both glucose columns are kept, as glucose_vital and
     glucose_lab; the draft selects no fluid columns."""
-    vitals = materialise(vitals, "vitals")  # read twice: its hours, and its columns
-    spine = numbered_spine(_stays(icustays, admissions, patients), vitals)
     vit_cols = [name for _, name, _ in C.vital_measures(C.VITALS_10)]
-    out = attach(spine, vitals, vit_cols, {"glucose": "glucose_vital"})
-    out = attach(out, labs_uncapped, list(C.LAB_OUTPUT_ORDER), {"glucose": "glucose_lab"})
+    out = _merged_summary(icustays, admissions, patients, [
+        (vitals, vit_cols, {"glucose": "glucose_vital"}), (labs_uncapped, list(C.LAB_OUTPUT_ORDER), {"glucose": "glucose_lab"})])
     vit_out = [("glucose_vital" if c == "glucose" else c) for c in vit_cols]
     lab_out = [("glucose_lab" if c == "glucose" else c) for c in C.LAB_OUTPUT_ORDER]
     return (out.orderBy(*ORDER, "co_hr")

@@ -27,14 +27,17 @@ ORDER = ["subject_id", "hadm_id", "icustay_id"]
 VITALS_10_MIN = tuple(replace(r, agg="min") if r.name in ("spo2", "glucose") else r for r in C.VITALS_10)
 
 
-def _charted(icustays: DataFrame, chartevents: DataFrame, rules, max_icustay_id: int | None) -> DataFrame:
-    return charted_vitals(icustays, chartevents, rules, max_icustay_id=max_icustay_id)
+def _hours(icustays: DataFrame, chartevents: DataFrame, rules, max_icustay_id: int | None) -> DataFrame:
+    """The (stay, hour) aggregate of the charted vitals, stored: the one scan of the
+    events.  It also tells which stays reach the result."""
+    coded = charted_vitals(icustays, chartevents, rules, max_icustay_id=max_icustay_id)
+    return materialise(pivot_vitals(coded, rules, ["icustay_id", "hr"]), "stay-hours")
 
 
-def _result_stays(coded: DataFrame, icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
+def _result_stays(hours: DataFrame, icustays: DataFrame, admissions: DataFrame, patients: DataFrame,
                   age_digits: int = 4) -> DataFrame:
-    """Stay attributes of the stays that have a charted row (a narrow scan)."""
-    present = coded.select("icustay_id").distinct()
+    """Stay attributes of the stays that have an hour."""
+    present = hours.select("icustay_id").distinct()
     st = stay_frame(icustays, admissions, patients).join(present, "icustay_id", "left_semi")
     return st.withColumns({
         "los_hospital": los_days(F.col("admittime"), F.col("dischtime")),
@@ -42,12 +45,6 @@ def _result_stays(coded: DataFrame, icustays: DataFrame, admissions: DataFrame,
         "los_icu": los_days(F.col("intime"), F.col("outtime"))})
 
 
-def _first_stays(stays: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` stays in output order: each gives a row at least, so no
-    other stay reaches the first ``limit`` rows."""
-    return materialise(stays.orderBy(*ORDER).limit(limit), "first-stays")
-
-
 def _with_rn(rows: DataFrame) -> DataFrame:
     """rn = position of the hour within its stay (at most 25 rows per stay)."""
     return rows.withColumn("rn", F.row_number().over(
@@ -61,15 +58,14 @@ STAY_TAIL = ["admittime", "dischtime", "los_hospital", "age", "ethnicity", "admi
 
 def _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id,
                            keep_stays: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    coded = _charted(icustays, chartevents, C.VITALS_8, max_icustay_id)
+    hours = _hours(icustays, chartevents, C.VITALS_8, max_icustay_id)
+    stays = _result_stays(hours, icustays, admissions, patients)
     if keep_stays is not None:
-        coded = coded.join(keep_stays, "icustay_id", "left_semi")
-    stays = with_stay_ranks(_result_stays(coded, icustays, admissions, patients))
-    if limit is not None:
-        stays = _first_stays(stays, limit)
-        coded = coded.join(stays.select("icustay_id"), "icustay_id", "left_semi")
-    groups = pivot_vitals(coded, C.VITALS_8, ["icustay_id", "hr"])
-    rows = _with_rn(groups.join(stays, "icustay_id"))
+        stays = stays.join(keep_stays, "icustay_id", "left_semi")
+    stays = with_stay_ranks(stays)
+    if limit is not None:   # each stay gives a row at least, so no other stay reaches the first ``limit`` rows
+        stays = stays.orderBy(*ORDER).limit(limit)
+    rows = _with_rn(hours.join(stays, "icustay_id"))
     measures = [name for _, name, _ in C.vital_measures(C.VITALS_8)]
     return rows.select("subject_id", "hadm_id", "icustay_id", "hr", "gender", "rn", *measures, *STAY_TAIL)
 
@@ -95,8 +91,8 @@ def vitals_with_inout(icustays: DataFrame, chartevents: DataFrame, admissions: D
     correlated scalar subquery per output row; here ``inputs`` / ``outputs``
     are the (stay, hour) aggregates over all hours (JOB-3b, JOB-4b) and are
     left-joined once.  Its join to the raw input table only tests existence:
-    a left semi join against the distinct input stays (deduplicated map-side
-    before any shuffle)."""
+    a left semi join of the stays, not of their events, against the distinct
+    input stays (deduplicated map-side before any shuffle)."""
     with_inputs = inputevents_cv.select("icustay_id").distinct()
     rows = _vitals_with_stay_rows(icustays, chartevents, admissions, patients, max_icustay_id,
                                   keep_stays=with_inputs)
@@ -118,9 +114,9 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
     numbered by ``rn`` in (hour, lab row) order.  That product grows with the
     square of an admission's size, so it is never built whole.  Instead:
 
-    * the first ``limit`` stays in output order are found by a narrow scan, and
-      charted values and labs of other stays and admissions are dropped before
-      anything is aggregated;
+    * the charted values are aggregated by (stay, hour) once and stored; the first
+      ``limit`` stays in output order come from there, and labs of other admissions
+      are dropped before they are aggregated;
     * each of those stays has (hours) x (distinct lab rows, at least 1) rows; the
       running sum over the stays in order tells how many of its rows, if any,
       are among the first ``limit``;
@@ -128,13 +124,12 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
       hours and lab rows that make up those rows are joined: ``limit`` rows in all.
     """
     rules = VITALS_10_MIN
-    coded = _charted(icustays, chartevents, rules, max_icustay_id)
-    first = _first_stays(_result_stays(coded, icustays, admissions, patients, age_digits=0), limit)
-
-    coded = coded.join(first.select("icustay_id"), "icustay_id", "left_semi")
+    hours = _hours(icustays, chartevents, rules, max_icustay_id)
+    stays = _result_stays(hours, icustays, admissions, patients, age_digits=0)
+    first = materialise(stays.orderBy(*ORDER).limit(limit), "first-stays")
     hour_order = Window.partitionBy("icustay_id").orderBy("hr")
-    groups = materialise(pivot_vitals(coded, rules, ["icustay_id", "hr"])
-                         .withColumn("__vpos", F.row_number().over(hour_order)), "first-hours")
+    groups = (hours.join(first.select("icustay_id"), "icustay_id", "left_semi")
+              .withColumn("__vpos", F.row_number().over(hour_order)))
 
     lab_cols = list(C.ADMISSION_LAB_COLUMNS)
     lab_order = Window.partitionBy("hadm_id").orderBy(*[F.col(c).asc_nulls_last() for c in lab_cols])
@@ -144,8 +139,8 @@ def vitals_with_admission_labs(icustays: DataFrame, chartevents: DataFrame, admi
     top_labs = (distinct_labs.withColumn("__lpos", F.row_number().over(lab_order))
                 .where(F.col("__lpos") <= F.lit(limit)))
 
-    hours = groups.groupBy("icustay_id").agg(F.count(F.lit(1)).alias("__nhour"))
-    sized = first.join(hours, "icustay_id").join(lab_count, "hadm_id", "left").withColumn(
+    counts = groups.groupBy("icustay_id").agg(F.count(F.lit(1)).alias("__nhour"))
+    sized = first.join(counts, "icustay_id").join(lab_count, "hadm_id", "left").withColumn(
         "__nlab", F.greatest(F.coalesce(F.col("__nlab"), F.lit(0)), F.lit(1)))
     running = Window.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)   # at most ``limit`` stays
     needed = F.lit(limit) - F.coalesce(F.sum(F.col("__nhour") * F.col("__nlab")).over(running), F.lit(0))

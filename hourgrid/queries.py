@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ from .operators.cohort import hourly_cohort
 from .operators.vent import vent_flag
 from .plans import summary as SU
 from .plans import variants as VA
-from .plans.refresh import store_features, summary_from_paths
+from .plans.refresh import refresh_features, summary_from_features
 from .sources.proxy import load_proxy
-from .sources.shared import shared_dir
+from .sources.shared import shared_dir, side_by_side
+from .sources.tables import SCHEMAS, read_table, write_feature
 
 DIGITS = 6
 
@@ -102,11 +104,34 @@ def q_hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_summary_from_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two-step workflow: the feature tables are stored, the summary reads them."""
+    """The two-step workflow: the feature tables are refreshed as bucketed tables,
+    and the summary reads them."""
     t = load_proxy(spark, sf_dir)
-    paths = store_features(t.icustays, t.chartevents, t.labevents, t.inputevents_cv, t.outputevents,
-                           f"{shared_dir(spark)}/hourgrid-features-{uuid.uuid4().hex}")
-    return round_doubles(summary_from_paths(spark, t.icustays, t.admissions, t.patients, paths))
+    run = uuid.uuid4().hex
+    names = refresh_features(t.icustays, t.chartevents, t.labevents, t.inputevents_cv, t.outputevents,
+                             f"{shared_dir(spark)}/hourgrid-features-{run}", prefix=f"hourgrid_{run}_")
+    return round_doubles(summary_from_features(spark, t.icustays, t.admissions, t.patients, names))
+
+
+def _stored_base(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Base tables as a site keeps them: stored Parquet folders, read with their schemas."""
+    t, folder = load_proxy(spark, sf_dir), f"{shared_dir(spark)}/hourgrid-base-{uuid.uuid4().hex}"
+    side_by_side(spark, *[partial(write_feature, getattr(t, n).select(*SCHEMAS[n].names), f"{folder}/{n}") for n in names])
+    return {n: read_table(spark, folder, n) for n in names}
+
+
+def q_summary_from_base_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary from stored base tables to the last column."""
+    t = _stored_base(spark, sf_dir, "icustays", "admissions", "patients", "chartevents", "labevents", "inputevents_cv", "outputevents")
+    return round_doubles(SU.hourly_summary(
+        t["icustays"], t["admissions"], t["patients"],
+        FE.vitals_hourly(t["icustays"], t["chartevents"]), FE.labs_hourly(t["icustays"], t["labevents"]),
+        FE.inputs_hourly(t["icustays"], t["inputevents_cv"]), FE.outputs_hourly(t["icustays"], t["outputevents"])))
+
+
+def q_vent_from_base_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _stored_base(spark, sf_dir, "icustays", "ventdurations")
+    return vent_flag(t["ventdurations"], t["icustays"])
 
 
 def q_one_pass_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,8 +183,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stay_ranks": q_stay_ranks,
         "hourly_summary": q_hourly_summary,
         "summary_from_features": q_summary_from_features,
+        "summary_from_base_tables": q_summary_from_base_tables,
         "one_pass_summary": q_one_pass_summary,
         "vent_flag": q_vent_flag,
+        "vent_from_base_tables": q_vent_from_base_tables,
         "vitals_hourly": q_vitals_hourly,
         "labs_hourly": q_labs_hourly,
         "labs_hourly_uncapped": q_labs_hourly_uncapped,

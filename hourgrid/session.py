@@ -52,6 +52,13 @@ def cluster_conf(largest_shuffle_bytes: int, *, target_partition_bytes: int = 25
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        # runtime Bloom filters of stay keys too many to broadcast: up to a tenth of
+        # false positives at 100 million stays, in 64 MB
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(16 << 30),
+        "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(100_000_000),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(100_000_000),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(64 << 23),
     }
 
 

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +36,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/hourgrid-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, *runs: Callable[[], Any]) -> list:
+    """The results of independent runs, begun together: the cluster need not wait for
+    the last tasks of one before it begins the next."""
+    with ThreadPoolExecutor(len(runs)) as pool:
+        begun = [pool.submit(inheritable_thread_target(spark)(run)) for run in runs]
+    return [run.result() for run in begun]
