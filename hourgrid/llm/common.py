@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_dimension
 from ..sources.shared import materialise, shared_dir  # noqa: F401 - for the operators
 
 
@@ -31,9 +32,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while _open(stars):
         both = stars.selectExpr("hi AS u", "lo AS v").union(stars.selectExpr("lo AS u", "hi AS v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = both.join(least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo")
+        # a hot root's edges may be split between tasks in both joins
+        large = join_dimension(both, least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo")
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(root, "hi").filter("lo <> m").selectExpr("lo AS hi", "m AS lo").union(root.selectExpr("hi", "m AS lo"))
+        small = join_dimension(large, root, "hi").filter("lo <> m").selectExpr("lo AS hi", "m AS lo").union(root.selectExpr("hi", "m AS lo"))
         stars = materialise(small.distinct(), "stars")
     return stars.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         stars.select(F.col("lo").alias("node"), F.col("lo").alias("component"))).distinct()

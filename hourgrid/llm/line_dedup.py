@@ -32,6 +32,7 @@ CHUNK = 1 << 17  # characters hashed at a time
 BLOCK = 512  # lines of a block of a key's lines
 COLUMNS = 4096  # shingles of a matrix product
 FEW_PAIRS = 64  # up to here pairs are compared one by one
+SEEN_LINES = 1 << 20  # line hashes that a task remembers, to post a line once
 
 _RNG = np.random.default_rng(11)
 _SCALE = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -121,27 +122,32 @@ def reaches(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
 
 def posted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per line with a visible character: doc_id, text_key, line_no (from
-    0), line_id and its band keys.  Of equal lines in one batch only the first
-    carries keys, so the postings of a very frequent line stay few."""
+    0), line_id and its band keys.  Of equal lines that a task remembers
+    only the first carries keys, so the postings of a very frequent line stay few."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for cut in slices(texts):
-                row, number, line_id, first, known = [], [], [], [], {}
+                if len(seen) > SEEN_LINES:
+                    seen.clear()
+                row, number, line_id, first, fresh = [], [], [], [], []
                 for n in range(cut.start, cut.stop):
                     for i, line in enumerate(texts[n].split("\n")):
                         if line and not line.isspace():
                             h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace"))
-                            first.append(h not in known)
-                            known.setdefault(h, line)
+                            first.append(h not in seen)
+                            if first[-1]:
+                                seen.add(h)
+                                fresh.append(line)
                             row.append(n)
                             number.append(i)
                             line_id.append(h)
                 if not row:
                     continue
-                bands = band_keys(list(known.values()))
+                bands = band_keys(fresh)
                 counts = np.array(first) * BANDS
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 take = pa.array(row, pa.int64())
@@ -251,6 +257,18 @@ def _links_in_keys(members: DataFrame, texts: DataFrame, similarity: float) -> D
     return dealt.groupBy("task").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _with_links(parts: DataFrame, extra: DataFrame) -> DataFrame:
+    """Components (node, component) after further links (a, b): union-find over the
+    components that the links meet only."""
+    ends = extra.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = materialise(ends.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("part")), "link-ends")
+    a, b = (named.select(F.col("node").alias(x), F.col("part").alias(f"{x}_part")) for x in "ab")
+    joined = connected_components(extra.join(a, "a").join(b, "b").select(F.col("a_part").alias("a"), F.col("b_part").alias("b")))
+    joined = joined.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    every = parts.union(named).withColumnsRenamed({"component": "part"}).distinct()
+    return every.join(joined, "part", "left").select("node", F.coalesce("whole", "part").alias("component"))
+
+
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, removed array<int>): line numbers (from 0) to remove.
 
@@ -268,13 +286,14 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     texts = materialise(_line_texts(docs, lines, posted.select("line_id").distinct(), id_col, text_col), "line-texts")
     links = materialise(_links(near, texts, similarity), "links")
     parts = connected_components(links)
-    # what is not yet one component with its representative meets all lines of the key
+    # what is not yet one component with its representatives meets all lines of the key;
+    # the pairs of three lines have all been compared by then
     named = posted.join(parts.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "band", "line_id", F.coalesce("component", "line_id").alias("part"))
-    several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q")
+    several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q AND n > 3")
     open_keys = materialise(named.join(several.select("band", "n"), "band"), "open-keys")
     extra = materialise(_links_in_keys(open_keys, texts, similarity), "links")
-    parts = connected_components(parts.selectExpr("node AS a", "component AS b").union(extra))
+    parts = _with_links(parts, extra)
     # a line may be on a third of all rows: the joins below keep AQE free to split it
     own = (F.col("line_id") == F.col("node")) & (F.xxhash64("line_id") == F.xxhash64("node"))
     whole = lines.select("doc_id", "text_key", "line_no", "line_id").join(parts, own, "left").select(
