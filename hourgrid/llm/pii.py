@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import join_dimension
@@ -37,22 +37,34 @@ SUPPORT = 2  # documents that must hold both entity and term
 THRESHOLD = 0.9
 
 
-def _spans(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
-    """array<struct<start, end, value>> of the pattern's (wanted) matches, in code
-    points: the lengths of the matches and of the gaps between them add up."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima, ...) of an array: in each of log2(n) rounds a place
+    takes in what stands 1, 2, 4, ... places before it, so n values cost n log n
+    steps and no array is rebuilt per value."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def add(done: Column, n: Column) -> Column:
+        return F.transform(done, lambda x, i: _let(F.get(done, i - F.call_function("shiftleft", F.lit(1), n)), lambda y: F.when(y.isNull(), x).otherwise(combine(x, y))))
+
+    return F.aggregate(rounds, values, add)
+
+
+def _spans(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, value>> of the pattern's matches, in code points: the
+    lengths of the matches and of the gaps between them add up."""
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
-    def add(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        end = start + F.length(part["hit"])
-        out = F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), part["hit"].alias("value"))))
-        out = F.when(wanted(part["hit"]), out).otherwise(state["out"]) if wanted else out
-        return F.when(part["hit"].isNull(), state).otherwise(F.struct(end.alias("at"), out.alias("out")))
+    def placed(hits: Column) -> Column:
+        steps = F.zip_with(hits, F.slice(F.split(text, pattern, -1), 1, F.size(hits)), lambda hit, gap: F.length(hit) + F.length(gap))
+        ends = _let(steps, lambda lengths: _running(lengths, lambda x, y: x + y))
+        return F.zip_with(hits, ends, lambda hit, end: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("value")))
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda state: state["out"])
-    return F.when(F.size(hits) == 0, none).otherwise(walked)
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: F.when(F.size(hits) == 0, none).otherwise(placed(hits)))
 
 
 def _digits(value: Column) -> Column:
@@ -97,19 +109,28 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(runs, lambda run: F.length(run) >= LEAST_LETTERS))
 
 
-def _term_spans(text: Column, base: Column, terms: Column) -> Column:
-    """array<struct<start, kind, end, disclosure>> of every occurrence of the terms
-    (map<term, disclosure>) that overlaps no base span."""
-    found = _spans(text, TERM, lambda run: F.map_contains_key(terms, F.lower(run)))
-    free = F.filter(found, lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return F.transform(free, lambda t: F.struct(
-        t["start"].alias("start"), F.lit(TERM_KIND).alias("kind"), t["end"].alias("end"), F.element_at(terms, F.lower(t["value"])).alias("disclosure")))
+def _term_spans(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(row, terms): every occurrence of a row's wanted terms (row, term, disclosure)
+    that overlaps no base span of the row.
 
+    A term is free if the base spans that start before its end reach no further than
+    its start; a running maximum over the row's spans in order tells."""
+    held = found.join(wanted.select("row").distinct(), "row", "left_semi")
+    words = held.select("row", F.explode(_spans(F.col("text"), TERM)).alias("t")).select("row", "t.start", "t.end", F.lower("t.value").alias("term"))
+    hits = words.join(wanted, ["row", "term"]).select("row", F.col("end").alias("at"), F.lit(0).alias("base"), "start", "end", "disclosure")
+    base = held.select("row", F.explode("base").alias("s")).select(
+        "row", F.col("s.start").alias("at"), F.lit(1).alias("base"), "s.start", "s.end", F.lit(None).cast("double").alias("disclosure"))
+    before = Window.partitionBy("row").orderBy("at", "base").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max(F.when(F.col("base") == 1, F.col("end"))).over(before), F.lit(0))
+    free = hits.union(base).withColumn("reach", reach).filter("base = 0 AND reach <= start")
+    return free.groupBy("row").agg(F.array_sort(F.collect_list(
+        F.struct("start", F.lit(TERM_KIND).alias("kind"), "end", "disclosure"))).alias("terms"))
 
-def _disclosure(total: int, n_both: Column) -> Column:
+
+def _disclosure(total: int, n_both: Column, n_entity: Column) -> Column:
     """PMI / IC from the numbers of rows; 0 for an entity of all rows."""
-    pmi = F.log2(n_both * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term").cast("double")))
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
+    pmi = F.log2(n_both * F.lit(float(total)) / (n_entity * F.col("n_term").cast("double")))
+    content = F.log2(F.lit(float(total)) / n_entity)
     return F.when(content > 0, pmi / content).otherwise(0.0)
 
 
@@ -123,7 +144,9 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: i
     positions are code points, ends exclusive.  Entities, terms and their meetings
     are counted over whole rows, and all rows count; a repeated row counts like any
     other.  Null and empty texts have no spans, and an empty table gives an empty
-    result."""
+    result.  Work grows as the length of a text (times its logarithm), with many
+    matches in it as well; pairs of a row that cannot reach the threshold are not
+    made."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = rows.withColumn("base", base_spans(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
     text = F.col("text") if with_text else F.when(F.size("base") > 0, F.col("text"))
@@ -135,19 +158,17 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: i
     lists = join_dimension(held, entities, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "n_entity")).alias("held"))
     terms = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).filter(F.col("n_term") >= support)
     words = found.filter(F.size("base") > 0).join(lists, "row").select("row", "held", F.explode(_terms(F.col("text"))).alias("term"))
-    pairs = join_dimension(words, terms, "term").select("row", "term", "n_term", F.inline("held"))
     # no pair meets more often than its rarer side occurs, so the others cannot reach the threshold
-    most = _disclosure(total, F.least("n_entity", "n_term"))
-    pairs = materialise(pairs.filter(most >= threshold - 1e-9), "pairs")
+    near = F.filter("held", lambda e: _disclosure(total, F.least(e["n_entity"], F.col("n_term")), e["n_entity"]) >= threshold - 1e-9)
+    pairs = materialise(join_dimension(words, terms, "term").select("row", "term", "n_term", F.inline(near)), "pairs")
     both = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
-    disclosing = both.withColumn("disclosure", _disclosure(total, F.col("n_both"))).filter(F.col("disclosure") >= threshold)
+    disclosing = both.withColumn("disclosure", _disclosure(total, F.col("n_both"), F.col("n_entity"))).filter(F.col("disclosure") >= threshold)
     pair = F.struct("entity", "term").alias("pair")
     hits = join_dimension(pairs.select("row", "term", pair), disclosing.select(pair, "disclosure"), "pair")
     best = hits.groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
-    wanted = best.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("wanted"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,disclosure:double>>")
-    spans = F.when(F.col("wanted").isNull(), none).otherwise(_term_spans(F.col("text"), F.col("base"), F.col("wanted")))
-    return found.join(wanted, "row", "left").select("doc_id", "base", *(["text"] if with_text else []), spans.alias("terms"))
+    spans = _term_spans(found, materialise(best, "wanted"))
+    return found.join(spans, "row", "left").select("doc_id", "base", *(["text"] if with_text else []), F.coalesce("terms", none).alias("terms"))
 
 
 def sanitised_text() -> Column:
@@ -157,14 +178,18 @@ def sanitised_text() -> Column:
     spans = F.array_sort(F.concat(
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(label, s["kind"] + 1).alias("put"))),
         F.transform("terms", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["disclosure"] >= 1, "").otherwise("[term]").alias("put")))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def put(state: Column, s: Column) -> Column:
-        kept = F.substring(F.col("text"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        return F.when(s["end"] <= state["at"], state).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(state["out"], kept, s["put"]).alias("out")))
 
-    return F.aggregate(spans, start, put, lambda state: F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text"))))
+    def put(own: Column) -> Column:
+        """Each span puts down the text since the furthest end before it, and its label
+        if it reaches beyond that end."""
+        ends = _running(F.transform(own, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        parts = _let(F.split("text", ""), lambda chars: _let(ends, lambda reach: F.concat(
+            F.transform(own, lambda s, i: _let(F.coalesce(F.get(reach, i - 1), F.lit(0)), lambda at: F.concat(
+                F.array_join(F.slice(chars, at + 1, F.greatest(s["start"] - at, F.lit(0))), ""), F.when(s["end"] > at, s["put"]).otherwise("")))),
+            F.array(F.array_join(F.slice(chars, F.element_at(reach, -1) + 1, F.size(chars)), "")))))
+        return F.array_join(parts, "")
+
+    return _let(spans, lambda own: F.when(F.size(own) == 0, F.col("text")).otherwise(put(own)))
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:

@@ -89,3 +89,38 @@ def test_edges(spark, edge_docs, no_docs):
     assert same[1] == "" and same[5] == "One short line."
     plan = find_personal_data(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_work_grows_with_the_text(spark):
+    """Twice the text takes at most 2.5 times as long, also where all of it matches."""
+    import time
+
+    def seconds(text, columns):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        best = float("inf")
+        for _ in range(3):
+            t0 = time.perf_counter()
+            df.select(*columns(F.col("text"))).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t0)
+        return best
+
+    for unit in ("a1@b.cd 10.2.3.4 ", "word12 tail7 ", "+1 222 333 4444x4111 1111 1111 1111 "):
+        spans = lambda text: [base_spans(text)]
+        seconds(unit * 100, spans)
+        once, twice = seconds(unit * 40_000, spans), seconds(unit * 80_000, spans)
+        assert twice <= 2.5 * once + 0.3, (unit, once, twice)
+
+
+def test_sanitised_text_of_many_and_overlapping_spans(spark):
+    text = "\U0001f600 a@b.cd, +1 4111 1111 1111 1111 é 10.0.0.1" * 2000
+    docs = [(1, text), (2, "none"), (3, ""), (4, None), (5, "x@y.z"), (6, "+4111 1111 1111 1111")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in find_personal_data(df, support=10**6).selectExpr("doc_id", "base", "text", "terms").collect()}
+    clean = {r["doc_id"]: r["text"] for r in sanitise(df, support=10**6).collect()}
+    for i, t in docs:
+        at, out = 0, ""
+        for s in got[i]["base"]:
+            if s["end"] > at:
+                out += t[at : max(at, s["start"])] + f"[{KINDS[s['kind']]}]"
+                at = s["end"]
+        assert clean[i] == out + (t or "")[at:]
