@@ -3,31 +3,44 @@
 Masks over a window of words ignore some positions, so a benchmark passage with
 substituted words still shares a masked hash with its original: for every choice
 of words that a verified overlap may substitute, some mask ignores them all.
-Masked hashes of the benchmark are looked up while the documents are scanned;
-each hit is verified by aligning the benchmark item with the document.
+The masked hashes of all benchmark windows are one table, those of the documents'
+windows another; they are joined by hash, and the words of the windows that meet
+are compared.  Documents keep only hashes that pass a filter of bounded size, made
+of all benchmark hashes, so few of their rows are shuffled.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from ..plans.joins import join_dimension
+from .common import materialise, read_table
 from .tokens import mixed, slices, word_hashes
 
 SPAN = 12  # least words that the masks of longer items span
 WINDOW = 16  # words of a verified overlap; shorter items: the whole item
 SHARE = 0.8  # of the window's words that must agree
-LEAST_WORDS = 5  # items of fewer words are never looked for
-CHUNK_CHARS = 4_000_000  # benchmark text that is looked up in one pass
+FILTER_BITS = 26  # the hash filter has at most 2**26 bits (8 MB)
+BITS_A_HASH = 64  # of the filter, as long as it is below that size
+_CHUNK = 1 << 15  # bits that Spark's bitmap aggregate holds
 
 _FACTORS = mixed(np.arange(1, WINDOW + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: Scripts that are written without spaces: each of their characters is a word.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
+def text_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owner) of the words of all texts, as ``word_hashes``; characters of
+    scripts without spaces are words of their own."""
+    return word_hashes([t if t.isascii() else _UNSPACED.sub(r" \1 ", t) for t in texts])
 
 
 def allowed(size: int) -> int:
@@ -43,116 +56,139 @@ def seed_span(words: int) -> int:
 
 
 @lru_cache(maxsize=64)
-def masks(span: int) -> tuple[str, ...]:
-    """Masks over ``span`` words, 1 = compared.  With k substitutions allowed the
-    places are dealt into k + 2 groups, and each choice of k groups is ignored by
-    one mask: any k substitutions lie in k groups at most."""
-    k = allowed(span)
-    return tuple("".join("0" if i % (k + 2) in groups else "1" for i in range(span)) for groups in combinations(range(k + 2), k))
-
-
-def masked_hashes(words: np.ndarray, mask: str, seed: int) -> np.ndarray:
-    """One hash per window of len(mask) words, over the mask's positions."""
-    n = len(words) - len(mask) + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.full(n, seed, np.uint64)
-    for i, bit in enumerate(mask):
-        if bit == "1":
-            h += words[i : i + n] * _FACTORS[i]
-    return mixed(h)
-
-
-class SeedIndex:
-    """Masked hashes of a chunk of benchmark items, for lookup in documents."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids = [i for i, _ in items]
-        self.items = [word_hashes([t])[0] for _, t in items]
-        kept = [n for n, w in enumerate(self.items) if len(w) >= LEAST_WORDS]
-        spans = sorted({seed_span(len(self.items[n])) for n in kept})
-        self.seeds = [(m, 100 * span + k) for span in spans for k, m in enumerate(masks(span))]
-        self.tables = []
-        for mask, seed in self.seeds:
-            own = [n for n in kept if seed_span(len(self.items[n])) == len(mask)]
-            hashes = [masked_hashes(self.items[n], mask, seed) for n in own]
-            h = np.concatenate([np.zeros(0, np.uint64), *hashes])
-            item = np.concatenate([np.zeros(0, np.int64), *[np.full(len(x), n) for n, x in zip(own, hashes, strict=True)]])
-            at = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(x)) for x in hashes]])
-            order = np.argsort(h, kind="stable")
-            present = np.zeros(1 << 20, bool)
-            present[(h >> np.uint64(44)).astype(np.int64)] = True
-            self.tables.append((h[order], item[order].astype(np.int64), at[order].astype(np.int64), present))
-
-    def _candidates(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(item, diagonal) of each hit; a diagonal is the place of the item's word 0."""
-        for (mask, seed), (h, item, at, present) in zip(self.seeds, self.tables, strict=True):
-            found = masked_hashes(words, mask, seed)
-            place = np.flatnonzero(present[(found >> np.uint64(44)).astype(np.int64)])
-            if not len(place) or not len(h):
-                continue
-            left, right = np.searchsorted(h, found[place], "left"), np.searchsorted(h, found[place], "right")
-            count = right - left
-            total = int(count.sum())
-            if total:
-                entry = np.repeat(left, count) + np.arange(total) - np.repeat(np.cumsum(count) - count, count)
-                yield item[entry], np.repeat(place, count) - at[entry]
-
-    def hits(self, words: np.ndarray, owner: np.ndarray) -> dict[tuple[int, int], float]:
-        """Share of agreeing words of the best verified window per (text, item)."""
-        pairs = [np.stack(x) for x in self._candidates(words)]
-        best: dict[tuple[int, int], float] = {}
-        if not pairs:
-            return best
-        for n, diagonal in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
-            item = self.items[n]
-            for text, share in self._overlaps(item, words, owner, diagonal):
-                key = (text, self.ids[n])
-                best[key] = max(share, best.get(key, 0.0))
-        return best
-
-    @staticmethod
-    def _overlaps(item: np.ndarray, words: np.ndarray, owner: np.ndarray, diagonal: int) -> list[tuple[int, float]]:
-        low, high = max(0, diagonal), min(len(words), diagonal + len(item))
-        size = min(WINDOW, len(item))
-        if high - low < size:
-            return []
-        same = np.concatenate([[0], np.cumsum(words[low:high] == item[low - diagonal : high - diagonal])])
-        agree = same[size:] - same[:-size]
-        inside = owner[low : high - size + 1] == owner[low + size - 1 : high]
-        enough = np.flatnonzero(inside & (agree >= SHARE * size))
-        return [(int(owner[low + i]), float(agree[i] / size)) for i in enough]
-
-
-def contamination(index: SeedIndex, text_col: str) -> Column:
-    """Column struct<items array<long>, overlap double> of a text column."""
-
-    @F.pandas_udf("items array<long>, overlap double")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def masks(span: int) -> tuple[tuple[int, ...], ...]:
+    """Masks over ``span`` words, as the groups of places that each compares.  With k
+    substitutions allowed, place i is in group i % (k + 2) and each choice of k
+    groups is ignored by one mask: any k substitutions lie in k groups at most."""
+    groups = range(allowed(span) + 2)
+    return tuple(tuple(g for g in groups if g not in ignored) for ignored in combinations(groups, allowed(span)))
+
+
+def _seeds(span: int) -> np.ndarray:
+    """A number of its own for each mask of a span."""
+    return mixed(np.arange(len(masks(span)), dtype=np.uint64) + np.uint64(100 * span))
+
+
+def masked_hashes(words: np.ndarray, span: int) -> Iterator[np.ndarray]:
+    """For each mask one hash per window of ``span`` words: sums over its groups."""
+    n, step = max(0, len(words) - span + 1), allowed(span) + 2
+    sums = []
+    for group in range(step):
+        total = np.zeros(n, np.uint64)
+        for i in range(group, span, step):
+            total += words[i : i + n] * _FACTORS[i]
+        sums.append(total)
+    for compared, seed in zip(masks(span), _seeds(span), strict=True):
+        yield reduce(np.add, [sums[g] for g in compared], seed)
+
+
+def _windows(words: np.ndarray, ends: np.ndarray, place: np.ndarray) -> pa.ListArray:
+    """The words from each place on, WINDOW at most and none from ``ends`` on."""
+    counts = np.minimum(WINDOW, ends - place)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1], counts) + np.repeat(place, counts)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(words[at].view(np.int64)))
+
+
+def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
+    """(hash, span, item_id, size, item_window): the masked hashes of every window of
+    every item.  Null texts and null ids name no item, and a text without words has
+    no window."""
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch]
-            items, overlap = [[] for _ in texts], [0.0] * len(texts)
-            for cut in slices(texts):
-                for (n, item), share in index.hits(*word_hashes(texts[cut])).items():
-                    items[cut.start + n].append(item)
-                    overlap[cut.start + n] = max(share, overlap[cut.start + n])
-            yield pd.DataFrame({"items": [sorted(set(x)) for x in items], "overlap": overlap})
-
-    return find(F.col(text_col))
-
-
-def benchmark_chunks(benchmark: DataFrame, chunk_chars: int = CHUNK_CHARS) -> Iterator[SeedIndex]:
-    """Indexes over chunks of the benchmark of about ``chunk_chars`` characters
-    each, one at a time on the driver; null texts and null ids name no item."""
-    texts = benchmark.filter("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").distinct()
-    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    chunks = max(1, -(-total // chunk_chars))
-    for n in range(chunks):
-        rows = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == n).orderBy("item_id", "text").collect()
-        yield SeedIndex([(r["item_id"], r["text"]) for r in rows])
-
-
-_FOUND = "__contamination_{}"
+            for item_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, _ = text_words([text])
+                if not len(words):
+                    continue
+                size, span = min(WINDOW, len(words)), seed_span(len(words))
+                n = len(words) - size + 1
+                window = _windows(words, np.full(n, len(words)), np.arange(n))
+                for hashes in masked_hashes(words, span):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[:n].view(np.int64)), pa.array(np.full(n, span), pa.int32()),
+                         pa.array(np.full(n, item_id), pa.int64()), pa.array(np.full(n, size), pa.int32()), window],
+                        ["hash", "span", "item_id", "size", "item_window"])
+
+    items = benchmark.filter("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long"), "text").distinct()
+    return items.mapInArrow(seeds, "hash long, span int, item_id long, size int, item_window array<long>")
+
+
+def probes(bits: int) -> tuple[int, ...]:
+    """Shifts of a hash that give its places in a filter of 2**bits."""
+    return (64 - bits, 0, 19)
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """2**b bools, true at the places that the probes of some ``hash`` give.
+
+    What reaches the driver is the filter, 2**FILTER_BITS bits at most, however many
+    hashes there are; where they are too many for it, more of the documents' rows
+    pass and are shuffled, and none is lost."""
+    wanted = max(1, hashes.count()) * BITS_A_HASH
+    bits = min(FILTER_BITS, max(15, (wanted - 1).bit_length()))
+    places = F.array(*[F.expr(f"shiftrightunsigned(hash, {shift}) & {(1 << bits) - 1}") for shift in probes(bits)])
+    at = hashes.select(F.explode(places).alias("at")).selectExpr(f"at div {_CHUNK} AS chunk", f"at % {_CHUNK} AS bit")
+    allows = np.zeros(1 << bits, bool)
+    for r in at.groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        allows[r["chunk"] * _CHUNK : (r["chunk"] + 1) * _CHUNK] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    return allows
+
+
+def document_seeds(texts: DataFrame, spans: list[int], allows: np.ndarray) -> DataFrame:
+    """(hash, k1, k2, doc_window): the masked hashes of every window of the texts
+    (k1, k2, text) that the filter lets through.
+
+    Where no substitution is allowed, the hash covers a whole short item and finds
+    equal words only, so one row a text and hash is enough."""
+    packed, bits = np.packbits(allows), len(allows).bit_length() - 1
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there, low = np.unpackbits(packed).view(bool), np.uint64(len(allows) - 1)
+        first, *others = (np.uint64(shift) for shift in probes(bits))
+        for batch in batches:
+            held = [t or "" for t in batch.column(2).to_pylist()]
+            for cut in slices(held):
+                words, owner = text_words(held[cut])
+                ends = np.searchsorted(owner, np.arange(cut.stop - cut.start), side="right")
+                for span in spans:
+                    for hashes in masked_hashes(words, span):
+                        place = np.flatnonzero(there[hashes >> first])
+                        for shift in others:
+                            place = place[there[(hashes[place] >> shift) & low]]
+                        place = place[owner[place] == owner[place + span - 1]]  # not across texts
+                        if not allowed(span):
+                            place = place[np.unique(np.stack([owner[place], hashes[place].view(np.int64)]), axis=1, return_index=True)[1]]
+                        if len(place):
+                            text = pa.array(cut.start + owner[place])
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(hashes[place].view(np.int64)), batch.column(0).take(text), batch.column(1).take(text), _windows(words, ends[owner[place]], place)],
+                                ["hash", "k1", "k2", "doc_window"])
+
+    return texts.mapInArrow(seeds, "hash long, k1 long, k2 long, doc_window array<long>")
+
+
+def _keys(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text: equal texts have equal overlaps."""
+    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")
+
+
+def contaminated_texts(texts: Column, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(k1, k2, items, share) of the texts that overlap a benchmark item: the sorted
+    ids of the items, and the share of agreeing words in the best window.
+
+    A window of an item is verified with each window of a text that shares a masked
+    hash with it; the masks leave out no window that the share accepts.  A passage
+    that very many texts hold makes its hashes hot: the join is open to skew splits,
+    and its rows are combined by text before they are shuffled."""
+    seeds = materialise(benchmark_seeds(benchmark), "benchmark-seeds")
+    spans = sorted(r["span"] for r in seeds.select("span").distinct().collect())  # WINDOW values at most
+    found = document_seeds(docs.select(*_keys(texts), texts.alias("text")), spans, hash_filter(seeds.select("hash")))
+    met = join_dimension(found, seeds.select("hash", "item_id", "size", "item_window"), "hash")
+    same = F.size(F.filter(F.zip_with("doc_window", "item_window", lambda x, y: x == y), lambda equal: equal))
+    verified = met.filter(F.size("doc_window") >= F.col("size")).withColumn("share", same / F.col("size")).filter(F.col("share") >= SHARE)
+    best = verified.groupBy("k1", "k2", "item_id").agg(F.max("share").alias("share"))
+    return best.groupBy("k1", "k2").agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("share").alias("share"))
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
@@ -160,25 +196,26 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     benchmark items that overlap the text) and ``overlap`` (share of agreeing
     words in the best window, 0 without one).
 
-    Every text is scanned whole against every benchmark item; the benchmark is
-    looked up in chunks, so its size only adds passes.  Null and empty texts have
-    no overlap; repeated rows are marked alike; an empty benchmark marks nothing;
-    columns of ``docs`` with those two names are replaced."""
-    names = []
-    marked = docs
-    for n, index in enumerate(benchmark_chunks(benchmark)):
-        names.append(_FOUND.format(n))
-        marked = marked.withColumn(names[-1], contamination(index, text_col))
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(x)["items"] for x in names]))))
-    share = F.greatest(*[F.col(x)["overlap"] for x in names], F.lit(0.0))
-    return marked.withColumns({"contaminated_by": items, "overlap": share}).drop(*names)
+    Every whole text meets every benchmark item: 16-word windows of an item, shorter
+    items whole, with at least 80 % of equal words; so an item of up to four words
+    must occur word for word.  In scripts without spaces each character is a word.
+    Null and empty texts have no overlap; repeated rows and equal texts are marked
+    alike; items of equal texts are all named; an empty benchmark marks nothing;
+    columns of ``docs`` with those two names are replaced, others may have any name."""
+    marks = contaminated_texts(F.col(text_col), docs, benchmark)
+    row = docs.select(F.struct(*docs.columns).alias("row"), *_keys(F.col(text_col)))
+    marks = marks.withColumnsRenamed({"k1": "m1", "k2": "m2"})
+    joined = row.join(marks, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")), "left")
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("contaminated_by", "overlap")]
+    none = F.array().cast("array<long>")
+    return joined.select(*kept, F.coalesce("items", none).alias("contaminated_by"), F.coalesce("share", F.lit(0.0)).alias("overlap"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with their columns."""
-    plain = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    clean = mark_contamination(plain, benchmark).filter(F.size("contaminated_by") == 0)
-    return clean.select("row.*")
+    marks = contaminated_texts(F.col(text_col), docs, benchmark).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"))
+    row = docs.select(F.struct(*docs.columns).alias("row"), *_keys(F.col(text_col)))
+    return row.join(marks, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")), "left_anti").select("row.*")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
