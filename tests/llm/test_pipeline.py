@@ -12,7 +12,7 @@ def rows(df):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and P.ORACLE_SQL is None
     assert [n for n, _ in P.STAGES] == ["quality classifier", "line dedup", "simhash near-dedup", "benchmark decontamination", "packing"]
 
