@@ -2,11 +2,13 @@
 
 A page is a sequence of tokens: its elements, told apart by their place in the
 page, and the text runs between them.  Tokens of a host that have the same
-occurrence vector (the same count on every page) form an equivalence class;
-classes that cover enough of the host's pages and nest in each other are its
-template.  The template names the element whose slot holds the article, and the
-text that repeats on the host's pages; what is left in that slot, outside menus,
-notices and other furniture, is the main text.
+occurrence vector (the same count on every page) form an equivalence class.
+Classes whose tokens occur once on their pages are layouts: the innermost element
+of such a class that holds most of its text is the layout's article slot.  Inside
+the slot, text that occurs with its element on the layout's pages is template
+text, and a class of named elements that repeats behind the slot's own text is a
+list of records (reader comments, teasers).  What is left in the slot, outside
+menus, notices and other furniture, is the main text.
 """
 
 from __future__ import annotations
@@ -23,10 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import join_dimension
 from .common import materialise, read_table
 
-SUPPORT = 0.5  # share of a host's pages that a class must cover
-REPEATED = 0.9  # share of a host's pages on which a text is part of the template
+SUPPORT = 0.5  # share of a host's pages that its main layout must cover
+LAYOUT_SUPPORT = 0.05  # share of a host's pages that any other class must cover, ...
+LEAST_PAGES = 3  # ... and pages, as for template text and records
+REPEATED = 0.9  # share of an element's pages on which a text in it is template text
+HOLDS = 0.8  # share of a layout's text that its article slot holds
 
 #: HTML's elements by how they take part in the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +50,10 @@ disqus respond replies related recommended widget toolbar pagination pager skip
 COMPOUND_WORDS = frozenset("""site page top bottom left right main primary secondary inner outer area box bar list item items block section wrap
 wrapper container button buttons link links post posts entry article articles global mobile desktop js slot unit group panel row col icon
 icons toggle text title policy message msg thread reply form us our your author email mail""".split())
+#: ... that mark furniture in any compound ("notice-x"), unless the name is one of something without or around it.
+STRONG_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored sidebar cookie cookies notice notices disclaimer
+newsletter breadcrumb breadcrumbs comment comments disqus navbar masthead pagination""".split())
+AROUND_WORDS = frozenset("no non not without with has have hide page site body layout".split())
 NEVER_FURNITURE = frozenset(("html", "body", "main", "article"))
 CLOSES_P = frozenset("""address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav
 ol p pre section table ul""".split())
@@ -60,6 +70,8 @@ def _names_furniture(name: str) -> bool:
     """Whether a class name, id or role is a furniture word or a compound of such
     words; "no-sidebar" and "page-with-comments" name something else."""
     parts = [w for w in re.split(r"[_-]+", name) if w]
+    if any(w in STRONG_WORDS for w in parts) and not any(w in AROUND_WORDS for w in parts):
+        return True
     return any(w in FURNITURE_WORDS for w in parts) and all(w in FURNITURE_WORDS or w in COMPOUND_WORDS or w[0].isdigit() for w in parts)
 
 
@@ -184,11 +196,42 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _text_token(path: str, text: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{path}\0{text}".encode("utf-8", "replace")) >> 1
+
+
+def _is_named(path: str) -> bool:
+    return "." in path.rsplit(">", 1)[-1]
+
+
+def trailing_elements(blocks: list[tuple[str, bool, str]]) -> set[str]:
+    """Paths of the named elements behind the text of their parent: no text in an
+    element without names, and none of the parent itself, follows their first one."""
+    first: dict[str, int] = {}
+    last_plain: dict[str, int] = {}
+    shown = [(n, path) for n, (path, furniture, text) in enumerate(blocks) if text and not furniture]
+    for n, path in shown:
+        while path and path not in first:
+            first[path] = n
+            path = path.rpartition(">")[0]
+    seen: set[str] = set()
+    for n, path in reversed(shown):
+        last_plain.setdefault(path, n)
+        while path and path not in seen:
+            seen.add(path)
+            parent = path.rpartition(">")[0]
+            if not _is_named(path):
+                last_plain.setdefault(parent, n)
+            path = parent
+    return {path for path, n in first.items() if _is_named(path) and last_plain.get(path.rpartition(">")[0], -1) < n}
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, path, text, n_pages, single, vector_a, vector_b, chars): occurrence
-    vectors of the tokens of (url, html) rows, summed per batch.  A vector is kept
-    as two sums of a hash of (page, count): equal vectors have equal sums.  Text
-    tokens are taken outside furniture and articles only."""
+    """(host, path, text, n_pages, single, vector_a, vector_b, chars, trailing):
+    occurrence vectors of the tokens of (url, html) rows, summed per batch.  A
+    vector is kept as two sums of a hash of (page, count): equal vectors have equal
+    sums.  ``single`` counts the pages that have the token once, ``trailing`` those
+    where the element stands behind its parent's text.  Furniture has no tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,28 +240,29 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                 host, key = host_of(url), xxhash.xxh3_64_intdigest((url or "").encode("utf-8", "replace"))
                 seen: Counter[tuple[str, int]] = Counter({("", 0): 1})
                 chars: Counter[str] = Counter()
-                for path, furniture, text in blocks_of(page or ""):
+                blocks = blocks_of(page or "")
+                trailing = trailing_elements(blocks)
+                for path, furniture, text in blocks:
                     if furniture:
                         continue
-                    if not text:
+                    if text:
+                        chars[path] += len(text)
+                        seen[path, _text_token(path, text)] += 1
+                    else:
                         seen[path, 0] += 1
-                        continue
-                    chars[path] += len(text)
-                    if ">article" not in path and ">main" not in path:
-                        seen[path, xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 1] += 1
                 for (path, text), n in seen.items():
                     h = xxhash.xxh3_64_intdigest(b"%d:%d" % (key, n))
-                    row = sums.setdefault((host, path, text), [0, 0, 0, 0, 0])
-                    for i, x in enumerate((1, n == 1, h & 0x7FFFFFFF, h >> 33, chars[path] if not text else 0)):
+                    row = sums.setdefault((host, path, text), [0] * 6)
+                    for i, x in enumerate((1, n == 1, h & 0x7FFFFFFF, h >> 33, 0 if text else chars[path], not text and path in trailing)):
                         row[i] += x
-            columns = list(zip(*[(*k, *v) for k, v in sums.items()], strict=True)) or [()] * 8
-            kinds = [pa.string(), pa.string(), *[pa.int64()] * 6]
-            names = ["host", "path", "text", "n_pages", "single", "vector_a", "vector_b", "chars"]
+            columns = list(zip(*[(*k, *v) for k, v in sums.items()], strict=True)) or [()] * 9
+            kinds = [pa.string(), pa.string(), *[pa.int64()] * 7]
+            names = ["host", "path", "text", "n_pages", "single", "vector_a", "vector_b", "chars", "trailing"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     rows = pages.select("url", "html").mapInArrow(
-        count, "host string, path string, text long, n_pages long, single long, vector_a long, vector_b long, chars long")
-    return rows.groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "single", "vector_a", "vector_b", "chars")])
+        count, "host string, path string, text long, n_pages long, single long, vector_a long, vector_b long, chars long, trailing long")
+    return rows.groupBy("host", "path", "text").agg(*[F.sum(c).alias(c) for c in ("n_pages", "single", "vector_a", "vector_b", "chars", "trailing")])
 
 
 def article_path(elements: list[tuple[str, int, int, int]], n_pages: int) -> str | None:
@@ -243,45 +287,102 @@ def article_path(elements: list[tuple[str, int, int, int]], n_pages: int) -> str
     return max(holding, key=lambda p: (p.count(">"), p), default=None)
 
 
+def layout_slots(elements: list[dict], n_pages: int, support: float = SUPPORT) -> list[str]:
+    """The article slots of a host's layouts, that of most pages first.
+
+    ``elements`` have path, class, n_pages, single and chars.  The main layout's slot
+    is ``article_path`` of what at least ``support`` of the pages have.  Every other
+    class whose elements occur once on each of its pages is a layout of its own: its
+    slot is the innermost of its elements that holds most of the text below its
+    outermost one."""
+    main = [(e["path"], e["class"], e["n_pages"], e["chars"]) for e in elements if e["n_pages"] >= support * n_pages]
+    first = article_path(main, n_pages)
+    slots = [first] if first else []
+    layouts: dict[int, list[dict]] = {}
+    for e in elements:
+        if e["path"] and e["n_pages"] == e["single"] and e["n_pages"] < n_pages:
+            layouts.setdefault(e["class"], []).append(e)
+    for own in sorted(layouts.values(), key=lambda own: (-own[0]["n_pages"], min(e["path"] for e in own))):
+        outer = min((e["path"] for e in own), key=lambda p: (p.count(">"), p))
+        held = {e["path"]: sum(x["chars"] for x in elements if _within(x["path"], e["path"])) for e in own if _within(e["path"], outer)}
+        wanted = [p for p, chars in held.items() if chars and chars >= HOLDS * held[outer] and _last_label(p) not in ("p", "li")]
+        if wanted and not any(_within(outer, x) for x in slots):
+            slots.append(max(wanted, key=lambda p: (_last_label(p) in ("article", "main"), p.count(">"), p)))
+    return slots
+
+
+def record_paths(elements: list[dict], slots: list[str]) -> list[str]:
+    """The outermost elements in a slot whose class is a list of records: named, on
+    some page several times or holding a named class that is, behind the text of
+    their parent wherever they occur, and with less than half of the slot's text."""
+    by_path = {e["path"]: e for e in elements}
+    several = [e["path"] for e in elements if _is_named(e["path"]) and e["single"] < e["n_pages"]]
+    found: list[str] = []
+    for path, e in sorted(by_path.items()):
+        slot = next((x for x in slots if path != x and _within(path, x)), None)
+        if slot is None or not _is_named(path) or e["n_pages"] < LEAST_PAGES or e["trailing"] < e["n_pages"] or any(_within(path, x) for x in found):
+            continue
+        chars = {x: sum(y["chars"] for y in elements if _within(y["path"], x)) for x in (path, slot)}
+        if any(_within(x, path) for x in several) and 2 * chars[path] < chars[slot]:
+            found.append(path)
+    return found
+
+
 def deduce_templates(pages: DataFrame, support: float = SUPPORT, repeated: float = REPEATED) -> DataFrame:
-    """(host, region, fixed): per host the path of the article element (null if
-    its template names none) and the hashes of the texts that belong to it.
+    """(host, slots, records, fixed): per host the paths of its layouts' article slots
+    and of the record lists in them, and the tokens of its template text.
 
-    Only tokens on at least half of a host's pages are gathered, so a host's
-    template is no larger than two of its average pages."""
+    Gathered per host are only elements on a twentieth of its pages (half, for a host
+    of a few pages) and texts on nearly all pages of their element, so a host's
+    template is no larger than some average pages."""
     tokens = materialise(page_tokens(pages), "page-tokens")
     hosts = tokens.filter("path = '' AND text = 0").select("host", F.col("n_pages").alias("pages"))
-    frequent = tokens.join(hosts, "host").filter(F.col("n_pages") >= F.col("pages") * support)
-    vector = ["host", "n_pages", "vector_a", "vector_b"]
-    classes = frequent.groupBy(*vector, "pages").agg(F.collect_list(F.struct("path", "text", "chars")).alias("tokens"))
-    members = classes.withColumn("class", F.xxhash64(*vector)).select("host", "pages", "n_pages", "class", F.inline("tokens"))
-
-    @F.pandas_udf("string")
-    def region(elements: pd.Series, pages: pd.Series) -> pd.Series:
-        rows = [[(x["path"], x["class"], x["n_pages"], x["chars"]) for x in group] for group in elements]
-        return pd.Series([article_path(group, n) for group, n in zip(rows, pages, strict=True)], dtype=object)
-
-    element = F.when(F.col("text") == 0, F.struct("path", "class", "n_pages", "chars"))
-    fixed = F.when((F.col("text") != 0) & (F.col("n_pages") >= F.col("pages") * repeated) & (F.col("pages") > 2), F.col("text"))
-    found = members.groupBy("host", "pages").agg(F.collect_list(element).alias("elements"), F.collect_set(fixed).alias("fixed"))
-    return found.select("host", region("elements", "pages").alias("region"), "fixed")
-
-
-def main_text(page: str | None, region: str | None, fixed: frozenset[int]) -> str:
-    """The blocks of the article slot, joined by an empty line.  A page without the
-    template's article element falls back on its own ``article`` or ``main``, and
-    without these on all blocks that are no furniture and no template text."""
+    elements = join_dimension(tokens.filter("text = 0"), hosts, "host")
+    least = F.least(F.col("pages") * support, F.greatest(F.lit(float(LEAST_PAGES)), F.col("pages") * LAYOUT_SUPPORT))
+    frequent = elements.filter(F.col("n_pages") >= least).withColumn("class", F.xxhash64("n_pages", "vector_a", "vector_b"))
+    gathered = frequent.groupBy("host", "pages").agg(F.collect_list(F.struct("path", "class", "n_pages", "single", "chars", "trailing")).alias("elements"))
+
+    @F.pandas_udf("slots array<string>, records array<string>")
+    def template(groups: pd.Series, pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for group, n in zip(groups, pages, strict=True):
+            held = sorted(group, key=lambda e: e["path"])
+            slots = layout_slots(held, n, support)
+            rows.append((slots, record_paths(held, slots)))
+        return pd.DataFrame(rows, columns=["slots", "records"])
+
+    of = elements.select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("n_pages").alias("element_pages"))
+    texts = tokens.filter((F.col("text") != 0) & (F.col("n_pages") >= LEAST_PAGES))
+    texts = texts.join(of, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p"))).filter(F.col("n_pages") >= F.col("element_pages") * repeated)
+    fixed = texts.groupBy(F.col("host").alias("h")).agg(F.collect_list("text").alias("fixed"))
+    found = gathered.select("host", template("elements", "pages").alias("t"))
+    return found.join(fixed, F.col("host") == F.col("h"), "left").select("host", "t.slots", "t.records", "fixed")
+
+
+def main_text(page: str | None, slots: str | list[str] | None, fixed: frozenset[int], records: list[str] | None = None) -> str:
+    """The blocks of the page's article slot, joined by an empty line.  A page without
+    a slot of its host falls back on its own ``article`` or ``main``, and without these
+    on all blocks that are no furniture.
+
+    Template text and records go wherever they are, unless they are most of what
+    is there: a host whose pages are copies of one article has no template."""
     blocks = [(path, text) for path, furniture, text in blocks_of(page or "") if text and not furniture]
-    if region and any(_within(p, region) for p, _ in blocks):
-        kept = [t for p, t in blocks if _within(p, region)]
+    for slot in [slots] if isinstance(slots, str) else slots or ():
+        kept = [(p, t) for p, t in blocks if _within(p, slot)]
+        if kept:
+            break
     else:
         for wanted in ("article", "main"):
-            kept = [t for p, t in blocks if any(x.split(".")[0] == wanted for x in p.split(">"))]
+            kept = [(p, t) for p, t in blocks if any(x.split(".")[0] == wanted for x in p.split(">"))]
             if kept:
                 break
         else:
-            kept = [t for _, t in blocks if xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) >> 1 not in fixed]
-    return "\n\n".join(kept)
+            kept = blocks
+    for left in ([x for x in kept if not any(_within(x[0], r) for r in records or ())], [x for x in kept if _text_token(*x) not in fixed]):
+        if 2 * sum(len(t) for _, t in left) >= sum(len(t) for _, t in kept):
+            gone = {id(x) for x in kept} - {id(x) for x in left}
+            kept = [x for x in kept if id(x) not in gone]
+    return "\n\n".join(t for _, t in kept)
 
 
 def extract_main_text(pages: DataFrame, support: float = SUPPORT, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -289,21 +390,23 @@ def extract_main_text(pages: DataFrame, support: float = SUPPORT, id_col: str =
 
     Null and empty pages give an empty text; pages without a host in their url
     form one group; repeated rows come back once each; an empty table gives an
-    empty result.  The join with the templates is keyed on the host and its hash,
+    empty result; extra columns are not read.  Pages of any length are parsed whole;
+    of slots that tie, the first by path counts.  The join with the templates is keyed on the host and its hash,
     so AQE may split the pages of a host of any size over tasks."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    templates = deduce_templates(rows, support).withColumnRenamed("host", "of")
+    # stored, so that its size is known: few hosts are broadcast and no page is shuffled
+    templates = materialise(deduce_templates(rows, support), "templates").withColumnRenamed("host", "of")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST.pattern, 1))
     same = (F.col("host") == F.col("of")) & (F.xxhash64("host") == F.xxhash64("of"))
     met = rows.withColumn("host", host).join(templates, same, "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            page, region, fixed = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            texts = [main_text(p, r, frozenset(f or ())) for p, r, f in zip(page, region, fixed, strict=True)]
+            page, slots, records, fixed = (batch.column(i).to_pylist() for i in (2, 3, 4, 5))
+            texts = [main_text(p, s, frozenset(f or ()), r) for p, s, r, f in zip(page, slots, records, fixed, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return met.select("page_id", "url", "html", "region", "fixed").mapInArrow(extract, "page_id long, url string, text string")
+    return met.select("page_id", "url", "html", "slots", "records", "fixed").mapInArrow(extract, "page_id long, url string, text string")
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:

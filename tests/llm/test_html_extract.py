@@ -73,3 +73,92 @@ def test_classes_nest_into_a_template():
     assert article_path(elements, 9) == ">html>body>article"     # the other's parent is in no class
     assert article_path([(">html", 1, 2, 0)], 2) is None
     assert host_of("HTTPS://A.org:80/x") == "a.org:80" and host_of(None) == "" and host_of("x") == ""
+
+
+def pages_of(spark, host, bodies):
+    rows = [(i, f"https://{host}/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def texts_of(df):
+    return {r["page_id"]: r["text"].split("\n\n") for r in extract_main_text(df).collect()}
+
+
+def story(i, n=6):
+    return [f"Story {i}", *[f"Paragraph {k} of story {i} " + "tells more " * (5 + (i * k) % 7) + f"and ends {i}.{k}" for k in range(n - i % 3)]]
+
+
+def as_html(blocks):
+    return f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+
+
+def want(i):
+    return [" ".join(b.split()) for b in story(i)]
+
+
+def no_word_lists(monkeypatch):
+    from hourgrid.llm import html_extract as H
+
+    monkeypatch.setattr(H, "FURNITURE_WORDS", frozenset())
+    monkeypatch.setattr(H, "STRONG_WORDS", frozenset())
+    H._element.cache_clear()
+
+
+def test_classes_decide_about_unlisted_comments(spark, monkeypatch):
+    """Comments under a class name that no list has, as records of the article and in
+    a wrapper; quotes and captions between the paragraphs stay."""
+    no_word_lists(monkeypatch)
+
+    def body(i, records):
+        quote = f"<blockquote class='q1'><p>Quoted words {i}</p></blockquote>" if i % 2 else f"<div class='pic'><p>A caption {i}</p></div>" * 2
+        blocks = story(i)
+        return f"<article>{as_html(blocks[:3])}{quote}{''.join(f'<p>{b}</p>' for b in blocks[3:])}{records(i)}</article>"
+
+    def wanted(i):
+        return [*want(i)[:3], *([f"Quoted words {i}"] if i % 2 else [f"A caption {i}"] * 2), *want(i)[3:]]
+
+    flat = lambda i: "".join(f"<div class='reader-says'><p>Reader {i}.{k} disagrees</p></div>" for k in range(i % 4))
+    wrapped = lambda i: "<section class='zz'>" + "".join(f"<div class='entry-x'><p>Reader {i}.{k} agrees</p></div>" for k in range(1 + i % 4)) + "</section>"
+    for records in (flat, wrapped):
+        got = texts_of(pages_of(spark, "c.org", [body(i, records) for i in range(12)]))
+        assert got == {i: wanted(i) for i in range(12)}
+
+
+def test_classes_decide_about_repeated_notices(spark, monkeypatch):
+    no_word_lists(monkeypatch)
+    bodies = [f"<article>{as_html(story(i)[:2])}<p>All rights belong to n.org</p><div class='bar-7'>Read our terms</div>"
+              + "".join(f"<p>{b}</p>" for b in story(i)[2:]) + "</article>" for i in range(10)]
+    assert texts_of(pages_of(spark, "n.org", bodies)) == {i: want(i) for i in range(10)}
+    # copies of one article are no template
+    same = f"<article>{as_html(story(1))}</article>"
+    assert texts_of(pages_of(spark, "n.org", [same] * 6)) == {i: want(1) for i in range(6)}
+
+
+def test_three_layouts_on_one_host(spark, monkeypatch):
+    no_word_lists(monkeypatch)
+
+    def body(i):
+        shell = ("<div class='one'><div class='lead-in'><p>Alpha bar</p></div><div class='story-a'>{}</div></div>",
+                 "<section class='two'><section class='story-b'>{}</section><div><p>Beta bar</p></div></section>",
+                 "<div class='three'><p>Gamma bar</p><div class='box3'><div class='story-c'>{}</div></div></div>")[i % 3]
+        return shell.format(as_html(story(i)))
+
+    got = texts_of(pages_of(spark, "l.org", [body(i) for i in range(30)]))
+    assert got == {i: want(i) for i in range(30)}
+
+
+def test_names_inside_an_article():
+    page = "<article><p>Story text that is long enough</p><div class='notice-x'>Note</div><div class='my_comments_3'><p>I say</p></div></article>"
+    assert main_text(page, None, frozenset()) == "Story text that is long enough"
+    for around in ("page-with-comments", "no-sidebar", "has-ads"):
+        assert main_text(f"<div class='{around}'><p>y</p></div>", None, frozenset()) == "y", around
+
+
+def test_long_pages_and_ties(spark):
+    """A very long page, and slots that hold the same text."""
+    long = "<article><h1>Long</h1>" + "".join(f"<p>Paragraph number {i}</p>" for i in range(40000)) + "</article>"
+    tie = ["<div class='a'><p>Left {0} words</p></div><div class='b'><p>Rite {0} words</p></div>".format(i) for i in range(8)]
+    got = texts_of(pages_of(spark, "t.org", [long]))
+    assert len(got[0]) == 40001 and got[0][-1] == "Paragraph number 39999"
+    first, second = (texts_of(pages_of(spark, "t.org", tie).repartition(n)) for n in (1, 5))
+    assert first == second and all(t == [f"Left {i} words", f"Rite {i} words"] for i, t in first.items())
