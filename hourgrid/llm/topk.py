@@ -1,16 +1,18 @@
 """Exact top-k search by distributed histogram selection.
 
-Every score is computed in blocks (a block of queries against a block of
-candidates, one matrix product).  Instead of ranking scores, each round counts
-them: per query a global histogram over the current score interval is summed up,
-the bin that holds the k-th highest score becomes the next interval, and after a
-few rounds the interval is one integer wide, the exact k-th value.  A last pass
-keeps the scores from that value on and breaks ties by the smaller id.
+Candidates stay where they are stored; a bounded block of queries at a time goes to
+all of them, and every score is computed (a tile of candidates, one matrix product).
+Instead of ranking scores, each round counts them: per query a global histogram over
+the current score interval is summed up, the bin that holds the k-th highest score
+becomes the next interval, and after a few rounds the interval is one integer wide,
+the exact k-th value.  A last pass keeps the scores from that value on and breaks ties
+by the smaller id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,9 @@ from .common import materialise, read_table
 
 SCALE = 256
 BINS = 4096  # bins of a histogram round
-FLOOR = -(2**60)  # below every score
-CANDIDATE_BLOCK = 4096  # vectors of a candidate block, on average
-QUERY_BLOCK = 1024  # queries of a query block, on average
+NONE = np.iinfo(np.int64).min  # below every score
+CANDIDATE_BLOCK = 2048  # candidates of a tile
+QUERY_BLOCK = 4096  # queries that go to the candidates together, on average
 
 
 def usable(vector: str) -> Column:
@@ -31,88 +33,146 @@ def usable(vector: str) -> Column:
     return F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
-def _pack(ids: list[int], vectors: list[list[float]]) -> bytes:
-    """A block of vectors of one length: count, length, ids, components."""
-    body = np.floor(SCALE * np.asarray(vectors, dtype="<f8"))
-    return np.array([len(ids), body.shape[1]], "<i8").tobytes() + np.asarray(ids, "<i8").tobytes() + body.astype("<f8").tobytes()
+def by_length(ids: np.ndarray, vectors: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, ids, matrix) of the vectors of each length, floor(SCALE * x) as integers."""
+    lengths = np.diff(vectors.offsets.to_numpy())
+    whole = np.floor(SCALE * vectors.flatten().to_numpy().astype(np.float64))
+    if len(whole) and np.abs(whole).max() >= 2.0**63:
+        raise ArithmeticError("a component is beyond 64 bits")
+    ends = np.cumsum(lengths)
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        yield rows, ids[rows], whole[(ends[rows] - length)[:, None] + np.arange(length)].astype(np.int64)
+
+
+def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer rows: in floating point where that is exact, in
+    64-bit or unbounded integers beyond; a product that is no long is an error."""
+    largest = [int(np.abs(x.astype(object)).max()) if x.size and x.min() == NONE else int(np.abs(x).max()) if x.size else 0 for x in (left, right)]
+    bound = left.shape[1] * largest[0] * largest[1]
+    if bound < 2**53:
+        return (left.astype(np.float64) @ right.T.astype(np.float64)).astype(np.int64)
+    if bound < 2**63:
+        return left @ right.T
+    exact = left.astype(object) @ right.T.astype(object)
+    if exact.size and (exact.max() >= 2**63 or exact.min() <= -(2**63)):
+        raise ArithmeticError("a score is beyond 64 bits")
+    return exact.astype(np.int64)
 
 
-def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, d = np.frombuffer(block, "<i8", 2).tolist()
-    return np.frombuffer(block, "<i8", n, 16), np.frombuffer(block, "<f8", n * d, 16 + 8 * n).reshape(n, d)
+def best_mask(scores: np.ndarray, k: int) -> np.ndarray:
+    """Mask of each row's scores from its own k-th highest on (NONE: no score)."""
+    if scores.shape[1] <= k:
+        return scores > NONE
+    least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    return (scores > NONE) & (scores >= least[:, None])
 
 
-def _blocks(vectors: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
-    """Vectors (vec_id, vector) packed into numbered blocks (block, dim, payload) of
-    about ``size`` rows of one dimension, and how many there are.  Rows are dealt
-    round-robin, so a block does not grow where ids or vectors repeat."""
+Columns = tuple[np.ndarray, ...]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: dict[int, tuple[list, list]] = {}
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, rows = found.setdefault(len(v), ([], []))
-                ids.append(i)
-                rows.append(v)
-            for dim, (ids, rows) in found.items():
-                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([_pack(ids, rows)], pa.binary())], ["dim", "payload"])
 
-    dealt = vectors.repartition(max(1, -(-vectors.count() // size)))
-    packed = materialise(dealt.mapInArrow(pack, "dim int, payload binary").withColumn("at", F.monotonically_increasing_id()), name)
-    numbers = packed.select("at", F.row_number().over(Window.orderBy("at")).alias("block"))
-    return packed.join(numbers, "at").select((F.col("block") - 1).alias("block"), "dim", "payload"), packed.count()
+class Pass:
+    """One pass over all candidates with a block of queries.
 
+    ``tile`` makes columns of a tile's (places, query ids, candidate ids, scores);
+    ``merge`` makes one such set of several, and is applied as they gather, so a task
+    holds and returns what its merged columns take."""
 
-def best_mask(scores: np.ndarray, k: int) -> np.ndarray:
-    """Mask of each row's scores from its own k-th highest on (FLOOR: no score)."""
-    if scores.shape[1] <= k:
-        return scores > FLOOR
-    least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    return (scores > FLOOR) & (scores >= least[:, None])
-
-
-class Search:
-    """Passes over all pairs of a query block and a candidate block."""
-
-    def __init__(self, queries: DataFrame, candidates: DataFrame, query_block: int, candidate_block: int):
-        asked, n_asked = _blocks(queries, query_block, "queries")
-        held, n_held = _blocks(candidates, candidate_block, "candidates")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-        self.asked = asked.selectExpr("block AS query_block", "dim", "payload AS queries")
-        self.n_held = n_held
-        self.held = held.selectExpr("block AS candidate_block", "dim AS candidate_dim", "payload AS candidates").withColumn(
-            "query_block", every(max(1, n_asked)))
-
-    def over(self, state: DataFrame | None, reduce, schema: str) -> DataFrame:
-        """Rows (query_block, place, ...) that ``reduce`` makes of each pair's scores.
-
-        ``state`` has the interval [low, high] of the queries of interest; a pair
-        meets at its own key, so every task gets whole pairs and few of them."""
-        asked = self.asked
-        if state is None:
-            asked = asked.withColumn("bounds", F.lit(None).cast("array<struct<place:int,low:bigint,high:bigint>>"))
-        else:
-            asked = asked.join(state.groupBy("query_block").agg(F.collect_list(F.struct("place", "low", "high")).alias("bounds")), "query_block")
-        asked = asked.withColumn("candidate_block", F.explode(F.sequence(F.lit(0), F.lit(max(0, self.n_held - 1)))))
-        pairs = asked.join(self.held, ["query_block", "candidate_block"]).filter("dim = candidate_dim")
+    def __init__(self, queries: pa.Table, names: list[str], kinds: str, tile: Callable[..., Columns], merge: Callable[[Columns], Columns]):
+        self.queries, self.names, self.kinds, self.tile, self.merge = queries, names, kinds, tile, merge
+
+    def over(self, candidates: DataFrame, size: int) -> DataFrame:
+        ids, vectors, tile, merge, names = self.queries["vec_id"].to_numpy(), self.queries["vector"].combine_chunks(), self.tile, self.merge, self.names
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = {m.shape[1]: (places, own, m) for places, own, m in by_length(ids, vectors)}
+            gathered: list[Columns] = []
             for batch in batches:
-                for block, bounds, q, c in zip(*batch.columns, strict=True):
-                    qid, queries = _unpack(q.as_py())
-                    cid, rows = _unpack(c.as_py())
-                    low, high = np.full(len(qid), FLOOR if bounds.as_py() is None else 1), np.full(len(qid), -FLOOR if bounds.as_py() is None else 0)
-                    for x in bounds.as_py() or ():
-                        low[x["place"]], high[x["place"]] = x["low"], x["high"]
-                    for at in range(0, len(cid), 2048):
-                        own = cid[at : at + 2048]
-                        scores = (queries @ rows[at : at + 2048].T).astype(np.int64)
-                        inside = (qid[:, None] != own) & (scores >= low[:, None]) & (scores <= high[:, None])
-                        place, columns = reduce(qid, own, np.where(inside, scores, FLOOR), low, high)
-                        arrays = [pa.array(np.full(len(place), block.as_py(), np.int32)), pa.array(place.astype(np.int32))]
-                        yield pa.RecordBatch.from_arrays([*arrays, *map(pa.array, columns.values())], ["query_block", "place", *columns])
-
-        return pairs.select("query_block", "bounds", "queries", "candidates").mapInArrow(score, f"query_block int, place int, {schema}")
+                for _, held, matrix in by_length(batch.column(0).to_numpy(), batch.column(1)):
+                    if matrix.shape[1] not in asked:
+                        continue
+                    places, own, rows = asked[matrix.shape[1]]
+                    for at in range(0, len(held), size):
+                        scores = inner_products(rows, matrix[at : at + size])
+                        gathered.append(tile(places, own, held[at : at + size], np.where(own[:, None] != held[at : at + size], scores, NONE)))
+                        if len(gathered) >= 16:
+                            gathered = [merge(tuple(map(np.concatenate, zip(*gathered, strict=True))))]
+            if gathered:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in merge(tuple(map(np.concatenate, zip(*gathered, strict=True))))], names)
+
+        return candidates.mapInArrow(score, self.kinds)
+
+
+def _extremes(places, own, held, scores) -> Columns:
+    some = scores > NONE
+    kept = some.any(axis=1)
+    least = np.where(some, scores, np.iinfo(np.int64).max).min(axis=1)
+    return places[kept], least[kept], scores.max(axis=1)[kept], some.sum(axis=1)[kept]
+
+
+def _merged_extremes(columns: Columns) -> Columns:
+    place, least, most, n = columns
+    found, at = np.unique(place, return_inverse=True)
+    low, high, count = np.full(len(found), np.iinfo(np.int64).max), np.full(len(found), NONE), np.zeros(len(found), np.int64)
+    np.minimum.at(low, at, least)
+    np.maximum.at(high, at, most)
+    np.add.at(count, at, n)
+    return found, low, high, count
+
+
+def _merged_counts(columns: Columns) -> Columns:
+    place, bin_no, n = columns
+    cell, at = np.unique(place * BINS + bin_no, return_inverse=True)
+    count = np.zeros(len(cell), np.int64)
+    np.add.at(count, at, n)
+    return cell // BINS, cell % BINS, count
+
+
+def _best(columns: Columns, k: int) -> Columns:
+    """The k best of each place, ties to the smaller id."""
+    place, held, value = columns
+    order = np.lexsort((held, -value.astype(np.float64), place)) if not len(value) or np.abs(value).max() < 2**53 else np.array(
+        sorted(range(len(value)), key=lambda i: (place[i], -int(value[i]), held[i])), np.int64)
+    place, held, value = place[order], held[order], value[order]
+    first = np.arange(len(place)) - np.searchsorted(place, place, side="left") < k
+    return place[first], held[first], value[first]
+
+
+def _width(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of a bin, so that BINS of them reach from low to high: (high - low) // BINS + 1
+    without leaving 64 bits."""
+    return ((high.astype(np.uint64) - low.astype(np.uint64)) // np.uint64(BINS)).astype(np.int64) + 1
+
+
+def kth_scores(candidates: DataFrame, queries: pa.Table, k: int, size: int) -> np.ndarray:
+    """Per query the score of rank k among all candidates (the lowest, if fewer; NONE
+    without any), by rounds of global histograms."""
+    n = queries.num_rows
+    low, high, rest = np.full(n, NONE), np.full(n, NONE), np.zeros(n, np.int64)
+    found = Pass(queries, ["place", "least", "most", "n"], "place long, least long, most long, n long", _extremes, _merged_extremes).over(candidates, size)
+    for r in found.groupBy("place").agg(F.min("least").alias("low"), F.max("most").alias("high"), F.sum("n").alias("n")).collect():  # a row per query
+        low[r["place"]], high[r["place"]], rest[r["place"]] = r["low"], r["high"], min(k, r["n"])
+    while (low < high).any():
+        bounds = low.copy(), high.copy(), _width(low, high)
+
+        def histogram(places, own, held, scores, bounds=bounds) -> Columns:
+            lowest, highest, width = (b[places] for b in bounds)
+            inside = (scores >= lowest[:, None]) & (scores <= highest[:, None]) & (lowest < highest)[:, None]
+            # the k-th highest of all is not below a tile's own: lower scores need no bin
+            row, col = np.nonzero(best_mask(np.where(inside, scores, NONE), k))
+            steps = (scores[row, col].astype(np.uint64) - lowest[row].astype(np.uint64)) // width[row].astype(np.uint64)
+            return places[row], steps.astype(np.int64), np.ones(len(row), np.int64)
+
+        counts = Pass(queries, ["place", "bin", "n"], "place long, bin long, n long", histogram, _merged_counts).over(candidates, size)
+        counts = counts.groupBy("place", "bin").agg(F.sum("n").alias("n"))
+        # per query the bin, from the highest down, in which ``rest`` scores are reached
+        above = F.sum("n").over(Window.partitionBy("place").orderBy(F.col("bin").desc()))
+        ranks = candidates.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(rest)], "p long, rest long")
+        reached = counts.withColumn("upto", above).join(F.broadcast(ranks), F.col("place") == F.col("p")).filter("upto >= rest AND upto - n < rest")
+        for r in reached.collect():  # a row per query
+            i, width = r["place"], int(bounds[2][r["place"]])
+            low[i], high[i], rest[i] = int(low[i]) + r["bin"] * width, min(int(high[i]), int(low[i]) + (r["bin"] + 1) * width - 1), r["rest"] - (r["upto"] - r["n"])
+    return low
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: int = QUERY_BLOCK,
@@ -125,56 +185,34 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: in
     Vectors that are null or hold null or non-finite components and rows without
     vec_id take no part; an empty vector scores 0 with every other one.  Repeated
     queries are asked once; candidates that repeat a vec_id count as separate rows.
-    Empty tables give an empty result.  Scores must stay below 2**53."""
+    Empty tables give an empty result.  Scores are exact; one that is no long is an
+    error.  No vector is shuffled: the driver holds one block of queries, and their
+    intervals, at a time."""
 
     def clean(table: DataFrame) -> DataFrame:
         vector = F.col("vector").cast("array<double>")
         return table.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).filter(F.col("vec_id").isNotNull() & usable("vector"))
 
-    search = Search(clean(queries).distinct(), clean(candidates), query_block, candidate_block)
-
-    def extremes(qid, cid, scores, low, high):
-        some = (scores > FLOOR).any(axis=1)
-        least = np.where(scores > FLOOR, scores, -FLOOR).min(axis=1)
-        return np.flatnonzero(some), {"least": least[some], "most": scores.max(axis=1)[some], "n": (scores > FLOOR).sum(axis=1)[some]}
-
-    # per query the interval [low, high] that holds the score of rank ``rest`` among
-    # the scores in it, at first of the k-th highest of all (the last, if fewer)
-    ends = search.over(None, extremes, "least long, most long, n long").groupBy("query_block", "place").agg(
-        F.min("least").alias("low"), F.max("most").alias("high"), F.sum("n").alias("n"))
-    state = materialise(ends.select("query_block", "place", "low", "high", F.least("n", F.lit(k)).alias("rest")), "intervals")
-
-    def histogram(qid, cid, scores, low, high):
-        # the k-th highest of all is not below a block's own: lower scores need no bin
-        row, col = np.nonzero(best_mask(scores, k))
-        width = np.maximum(1, -(-(high - low + 1) // BINS))
-        cell, count = np.unique(row * BINS + (scores[row, col] - low[row]) // width[row], return_counts=True)
-        return cell // BINS, {"bin": cell % BINS, "n": count}
-
-    step = f"greatest(1L, (high - low + {BINS}) div {BINS})"
-    # from the highest bin down until ``rest`` scores are counted
-    walk = ("aggregate(bins, struct(-1L AS bin, rest AS rest), (a, x) -> if(a.bin >= 0, a, "
-            "if(x.n >= a.rest, struct(x.bin AS bin, a.rest AS rest), struct(-1L AS bin, a.rest - x.n AS rest))))")
-    while state.filter("low < high").limit(1).count():
-        wide = state.filter("low < high")
-        counts = search.over(wide, histogram, "bin long, n long").groupBy("query_block", "place", "bin").agg(F.sum("n").alias("n"))
-        bins = counts.groupBy("query_block", "place").agg(F.reverse(F.sort_array(F.collect_list(F.struct("bin", "n")))).alias("bins"))
-        narrow = wide.join(bins, ["query_block", "place"]).withColumn("at", F.expr(walk)).selectExpr(
-            "query_block", "place", f"low + at.bin * {step} AS low", f"least(high, low + (at.bin + 1) * {step} - 1) AS high", "at.rest AS rest")
-        state = materialise(state.filter("low >= high").union(narrow), "intervals")
-
-    def chosen(qid, cid, scores, low, high):
-        row, col = np.nonzero(best_mask(scores, k))
-        value = scores[row, col]
-        order = np.lexsort((cid[col], -value, row))
-        row, col, value = row[order], col[order], value[order]
-        first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
-        return row[first], {"query_id": qid[row[first]], "vec_id": cid[col[first]], "score": value[first]}
-
-    kth = state.select("query_block", "place", "low", F.lit(-FLOOR).alias("high"))
-    rows = search.over(kth, chosen, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_block", "place").orderBy(F.col("score").desc(), "vec_id")
-    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    held = materialise(clean(candidates), "candidates")
+    asked = clean(queries).distinct().withColumn("hash", F.xxhash64("vec_id", "vector"))
+    asked = materialise(asked, "queries")
+    blocks = max(1, -(-asked.count() // query_block))
+    found = []
+    for n in range(blocks):
+        block = asked.filter(F.pmod("hash", F.lit(blocks)) == n).orderBy("vec_id", "vector").select("vec_id", "vector").toArrow()
+        least = kth_scores(held, block, k, candidate_block)
+
+        def chosen(places, own, ids, scores, least=least) -> Columns:
+            row, col = np.nonzero((scores > NONE) & (scores >= least[places][:, None]))
+            return _best((places[row], ids[col], scores[row, col]), k)
+
+        rows = Pass(block, ["place", "vec_id", "score"], "place long, vec_id long, score long", chosen, lambda c: _best(c, k)).over(held, candidate_block)
+        order = Window.partitionBy("place").orderBy(F.col("score").desc(), "vec_id")
+        ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        ids = held.sparkSession.createDataFrame(list(enumerate(block["vec_id"].to_pylist())), "p long, query_id long")
+        ranked = ranked.join(F.broadcast(ids), F.col("place") == F.col("p"))  # a block of queries
+        found.append(materialise(ranked.select("query_id", "rank", "vec_id", "score"), "top-k"))
+    return reduce(DataFrame.union, found)
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,3 +40,42 @@ def test_ties_copies_and_unusable_vectors(spark):
     got = found(top_k(queries, df, k=5, query_block=20, candidate_block=40))
     assert got == brute(asked, rows, 5)
     assert found(top_k(df.where("false"), df)) == [] and found(top_k(df, df.where("false"))) == []
+
+
+def test_large_scores_are_exact(spark):
+    """Scores from 2**53 on, where doubles skip integers, up to the last long."""
+    big = [float(2**22 + i) for i in range(40)]   # 2**30 and more after scaling: products of 2**60
+    rows = [(i, [x, 1.0 / 256, float(i % 3)]) for i, x in enumerate(big)] + [(50 + i, [-x, 3.0, 2.0**20]) for i, x in enumerate(big)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = found(top_k(df, df, k=4, query_block=30, candidate_block=7))
+    assert got == brute(rows, rows, 4) and max(abs(r[3]) for r in got) > 2**59
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, [2.0**30, 1.0]), (2, [2.0**30, 1.0])], SCHEMA)
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(df, df).collect()
+
+
+def test_no_vector_is_shuffled(spark):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, parquet = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **kwargs):
+        plans.append((args[0], self._df._jdf.queryExecution().executedPlan().toString()))
+        return parquet(self, *args, **kwargs)
+
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    DataFrameWriter.parquet = recorded
+    try:
+        assert found(top_k(df.where("vec_id % 10 = 0"), df, k=3, query_block=6)) == brute([r for r in rows if r[0] % 10 == 0], rows, 3)
+    finally:
+        DataFrameWriter.parquet = parquet
+    for path, plan in plans:
+        if "queries" not in path:   # the queries are made distinct once
+            assert not [x for x in plan.split("\n") if "Exchange" in x and "vector" in x]
+    assert len([1 for path, _ in plans if "top-k" in path]) >= 3
