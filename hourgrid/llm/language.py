@@ -19,13 +19,11 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .quality import held_out
 
-SAMPLE_ROWS = 40  # learned rows per language
-SAMPLE_CHARS = 3000  # characters that a learned row gives to the dictionary
+SAMPLE_ROWS = 40  # learned rows per language, each with its whole text
 REJECT_MARGIN = 0.02
-SHORT_BYTES = 600  # texts up to here are compressed at the thorough level
-ROTATIONS = 8  # re-measurements of a close decision
-CLOSE_BYTES = 3
-LEVELS = (5, 19)  # zstandard levels: long texts, short texts
+LEVEL = 9  # zstandard's level for every text
+TAIL = b" " * 64  # behind every text: a run that compresses, so that the frames of short texts do too
+PADDING = b" " * 16  # behind every dictionary, whose last bytes are never matched
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -36,20 +34,14 @@ def normalise(text: str | None) -> str:
     return " ".join([w for w in words if w.isalpha()] or words)
 
 
-def grams(text: str) -> set[str]:
-    padded = f" {text} "
-    return {padded[i : i + 4] for i in range(max(1, len(padded) - 3))}
-
-
-def learn_dictionaries(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """Dictionary text per language from (doc_id, text, lang): the ``rows`` rows
-    of smallest hash per language, ``chars`` characters of each.  The sample is
-    bounded by these two parameters; Spark cuts it per task before the shuffle."""
+def learn_dictionaries(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> dict[str, str]:
+    """Dictionary text per language from (doc_id, text, lang): the whole texts of the
+    ``rows`` rows of smallest hash per language.  The sample is bounded by that
+    number of rows; Spark cuts it per task before the shuffle."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "text")
     picked = (
         labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-        .select("doc_id", "lang", F.substring("text", 1, chars).alias("text"))
-        .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
+        .select("doc_id", "lang", "text").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows)
         .orderBy("lang", F.col("n").desc()).select("lang", "text").collect()
     )
     found: dict[str, list[str]] = {}
@@ -59,43 +51,28 @@ def learn_dictionaries(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int
 
 
 class CompressionClassifier:
+    """Every text is compressed by the same coders: one per language, all of one level."""
+
     def __init__(self, dictionaries: dict[str, str]):
         self.langs = sorted(dictionaries)
-        self.known = [frozenset(grams(dictionaries[x])) for x in self.langs]
-        self.quick, self.thorough = ([self._coder(dictionaries[x], level) for x in self.langs] for level in LEVELS)
+        self.coders = [self._coder(dictionaries[x]) for x in self.langs]
 
     @staticmethod
-    def _coder(text: str, level: int) -> zstandard.ZstdCompressor:
-        data = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        data.precompute_compress(level=level)
-        return zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
-
-    def _sizes(self, clean: str) -> np.ndarray:
-        raw = f" {clean} ".encode("utf-8", "replace")
-        coders = self.quick if len(raw) > SHORT_BYTES else self.thorough
-        return np.array([len(c.compress(raw)) for c in coders], dtype=float)
+    def _coder(text: str) -> zstandard.ZstdCompressor:
+        data = zstandard.ZstdCompressionDict(text.encode("utf-8", "replace") + PADDING, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        data.precompute_compress(level=LEVEL)
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
 
     def classify(self, text: str | None) -> tuple[str, float, float]:
-        """(language, score, margin).  ``und`` with score 0 without a letter.
-
-        Sizes are whole bytes, so a decision within CLOSE_BYTES is measured again
-        over rotations of the distinct words, and languages still within a byte
-        (texts too short to be compressed at all) are ranked by how many of the
-        text's four-character runs their dictionary holds, then by name."""
+        """(language, score, margin): the language of the smallest size, of equal ones
+        the first by name, with margin 0.  ``und`` with score 0 without a letter."""
         if not self.langs or not any(map(str.isalpha, text or "")):
             return "und", 0.0, 0.0
-        clean = normalise(text)
-        sizes = self._sizes(clean)
+        raw = f" {normalise(text)} ".encode("utf-8", "replace") + TAIL
+        sizes = np.array([len(c.compress(raw)) for c in self.coders], dtype=float)
         best = int(sizes.argmin())
-        if np.sum(sizes <= sizes[best] + CLOSE_BYTES) > 1:
-            words = list(dict.fromkeys(clean.split()))
-            starts = sorted({len(words) * i // ROTATIONS for i in range(ROTATIONS)})
-            sizes = sum(self._sizes(" ".join(words[i:] + words[:i])) for i in starts) / len(starts)
-            runs = grams(" ".join(words))
-            close = np.flatnonzero(sizes <= sizes.min() + 1)
-            best = int(max(close, key=lambda i: len(self.known[i] & runs)))
         others = np.delete(sizes, best)
-        margin = max(0.0, float((others.min() - sizes[best]) / others.min())) if len(others) else 1.0
+        margin = float((others.min() - sizes[best]) / others.min()) if len(others) else 1.0
         score = 1.0 / (1.0 + float(np.exp2(np.clip(sizes[best] - others, -60, 0)).sum()))
         return self.langs[best], score, margin
 
@@ -104,10 +81,12 @@ def identify_language(docs: DataFrame, dictionaries: dict[str, str], reject_marg
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, margin, rejected) per row of ``docs``.
 
-    The whole text is compressed.  ``rejected`` marks a margin below
-    ``reject_margin``; the best language stays in ``lang_pred``.  Null, empty and
-    letterless texts are ``und`` (rejected, score 0); an empty table gives an
-    empty result; with nothing learned every text is ``und``."""
+    The whole text is compressed, however long.  ``rejected`` marks a margin below
+    ``reject_margin``; the best language stays in ``lang_pred``, of equal ones the
+    first by name.  Null, empty and letterless texts are ``und`` (rejected, score 0);
+    repeated rows come back once each, alike; a null doc_id stays null; extra columns
+    are not read; an empty table gives an empty result; with nothing learned every
+    text is ``und``."""
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = CompressionClassifier(dictionaries)
