@@ -51,16 +51,17 @@ def fingerprint_of(text: str | None, shingle_words: int = 3, seed: int = 42) ->
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) for every row.  Only A-Z is lower-cased; words are runs of
+    """(doc_id, text_key, fp) for every row; equal texts have equal keys.  Only A-Z is lower-cased; words are runs of
     bytes other than space and \\t..\\r; shingles are joined by one space; a text
     of fewer words is one shingle; no words (or null): fingerprint zero."""
 
     def simhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint_of(t.as_py(), shingle_words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], ["doc_id", "fp"])
+            marks = [fingerprint_of(t.as_py(), shingle_words) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marks, pa.int64())], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(simhash, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(simhash, "doc_id long, text_key long, fp long")
 
 
 def _shared_bytes() -> str:
@@ -95,6 +96,22 @@ def fingerprint_links(distinct: DataFrame, max_distance: int = 3) -> DataFrame:
     return meet.selectExpr("l.fp AS a", "r.fp AS b").distinct()
 
 
+def near_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, fp, component, component_id) per row of ``docs``: the
+    smallest fingerprint of its group of linked fingerprints, and the smallest doc_id
+    in that group."""
+    marks = materialise(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
+    distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    parts = connected_components(fingerprint_links(distinct.select("fp"), max_distance))
+    linked = parts.join(distinct, parts.node == distinct.fp).select("component", "fp", "first_id")
+    smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = linked.join(smallest, "component").select("fp", "component", "component_id")
+    group = distinct.join(named, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "first_id").alias("component_id"))
+    # one fingerprint may be that of a third of all rows
+    return join_dimension(marks, group, "fp")
+
+
 def simhash_dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``.
@@ -105,17 +122,8 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3
     same component; a null doc_id never names a component unless the component
     has no other id; an empty table gives an empty result.  Copies meet as one
     fingerprint, so a group of copies of any size is one index entry."""
-    marks = materialise(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    parts = connected_components(fingerprint_links(distinct.select("fp"), max_distance))
-    linked = parts.join(distinct, parts.node == distinct.fp).select("component", "fp", "first_id")
-    smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = linked.join(smallest, "component").select("fp", "component_id")
-    group = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    # one fingerprint may be that of a third of all rows
-    return join_dimension(marks, group, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    found = near_groups(docs, shingle_words, max_distance, id_col, text_col)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
