@@ -51,3 +51,20 @@ def test_stages_on_edge_rows(spark, edge_docs, no_docs):
     kept = P.near_dedup(spark, edge_docs, SF).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 4, 5, 7, 9]
     assert sum(r["doc_id"] is None for r in kept) == 2
+
+
+def test_near_dedup_of_repeated_ids_is_one_choice(spark):
+    """Rows that share a doc_id: other texts are judged in their own groups, near
+    copies by one fixed order, repeats stay once; whatever the order of the rows."""
+    words = [f"w{i}" for i in range(80)]
+    base, other = " ".join(words), " ".join(reversed(words)) + " and more of another kind"
+    table = [(1, base), (1, other), (1, base), (2, base + "."), (2, "a text of its own"), (3, other), (4, base), (4, base.upper())]
+    rows = [(i, t, "en", f"s{n}", len(t)) for n, (i, t) in enumerate(table)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    results = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, schema).repartition(4)
+        results.add(tuple(sorted(map(tuple, P.near_dedup(spark, df, SF).collect()))))
+    assert len(results) == 1
+    [kept] = results
+    assert sorted((r[0], r[1]) for r in kept) == sorted([(1, base), (1, other), (2, "a text of its own")])
