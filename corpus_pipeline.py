@@ -7,7 +7,7 @@ to the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import materialise, read_table
@@ -15,7 +15,7 @@ from hourgrid.llm.decontaminate import decontaminate
 from hourgrid.llm.line_dedup import dedup_lines
 from hourgrid.llm.packing import pack_documents
 from hourgrid.llm.quality import classify_quality
-from hourgrid.llm.simhash import simhash_dedup
+from hourgrid.llm.simhash import near_groups
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,23 +36,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each group, the document with the smallest doc_id stays.
-
-    Rows that repeat that doc_id stay once; a null doc_id names no document and
-    such rows stay."""
-    marks = simhash_dedup(docs)
-    kept = marks.filter("doc_id = component_id").select("doc_id").distinct()
-    one = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    """SimHash near-dedup: of each group, the document with the smallest doc_id stays,
+    of several texts under that doc_id in the group the one of the smallest hash.
+
+    A doc_id that names texts of different groups is judged in each of them.  Rows
+    that repeat a doc_id and text stay once, the first by a hash of all columns; a
+    null doc_id names no document and such rows stay."""
+    first = near_groups(docs).filter("doc_id = component_id").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("kept"))
+    kept = first.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_key").alias("kept_key")).distinct()
+    rows = docs.filter("doc_id IS NOT NULL").select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), F.xxhash64(*docs.columns).alias("row_key"))
+    one = rows.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("key") == F.col("kept_key")), "left_semi")
+    place = F.row_number().over(Window.partitionBy("id", "key").orderBy("row_key"))
+    once = one.withColumn("place", place).filter("place = 1").select("row.*")
+    return once.union(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that overlap a benchmark item."""
+    """Drops documents that overlap a benchmark item; null and empty texts stay, and
+    rows of equal texts share their fate."""
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs every document that is left into sequences of 2048 tokens."""
+    """Packs every document that is left into sequences of 2048 tokens: null and empty
+    texts as their end id, repeated rows once each."""
     return pack_documents(docs, with_ids=False)
 
 
