@@ -6,8 +6,9 @@ block and summed per document.  A document is scored with the counts of all
 other documents (its own are taken off), so an n-gram that only it has backs off.
 
 The n-gram tables are kept column-wise: a row holds the sorted keys that one
-block has in one hash partition.  Key and row overhead would otherwise be larger
-than the keys themselves.
+block has in one hash partition, so an n-gram costs its key and count, not a row.
+Rows are blocks times partitions until each holds one key, one row per n-gram of a
+block at most.
 """
 
 from __future__ import annotations
@@ -26,15 +27,23 @@ from .common import materialise, read_table
 from .tokens import mixed, slices, word_hashes
 
 ALPHA = 0.4  # factor of a backoff step
+ORDER = 2  # longest n-gram
 BLOCK_WORDS = 1_000_000  # words of a block of documents, about
 BUCKET_KEYS = 2_000_000  # n-gram entries of a hash partition, about
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def bigram_keys(words: np.ndarray) -> np.ndarray:
-    """Keys of neighbouring words."""
-    return mixed(words[:-1] * _STEP + mixed(words[1:] + _STEP))
+def gram_keys(words: np.ndarray, n_words: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For n = 1, 2, ... order: the places where the n-grams inside one document end,
+    and their keys."""
+    owner = np.repeat(np.arange(len(n_words)), n_words)
+    keys = words
+    yield np.arange(len(words)), keys
+    for n in range(2, order + 1):
+        keys = mixed(keys[:-1] * _STEP + mixed(words[n - 1 :] + _STEP)) if len(keys) else keys
+        inside = owner[: max(0, len(words) - n + 1)] == owner[n - 1 :]
+        yield np.flatnonzero(inside) + n - 1, keys[inside]
 
 
 def _pack_words(words: np.ndarray) -> bytes:
@@ -85,23 +94,13 @@ def word_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return source.mapInArrow(build, "block long, doc_ids array<long>, n_words array<long>, words binary")
 
 
-def _orders(words: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(inside, bigrams): mask of the neighbouring pairs that lie in one document,
-    and their keys."""
-    ends = np.cumsum(n_words)
-    inside = np.ones(max(0, len(words) - 1), bool)
-    cuts = ends[(ends > 0) & (ends < len(words))] - 1
-    inside[cuts] = False
-    return inside, bigram_keys(words)[inside] if len(words) > 1 else np.zeros(0, np.uint64)
-
-
 def _bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each hash partition begins in sorted keys."""
     edges = [(i << 64) // buckets for i in range(1, buckets)]
     return np.concatenate([[0], np.searchsorted(keys, np.array(edges, dtype=np.uint64)), [len(keys)]]).astype(np.int64)
 
 
-def gram_counts(blocks: DataFrame, buckets: int) -> DataFrame:
+def gram_counts(blocks: DataFrame, buckets: int, order: int) -> DataFrame:
     """(block, grams, bucket, totals): corpus counts of every block's n-grams, in the
     order of the block's sorted keys in that hash partition."""
 
@@ -109,7 +108,7 @@ def gram_counts(blocks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for block, n_words, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _unpack_words(payload)
-                for grams, keys in ((1, words), (2, _orders(words, np.array(n_words, np.int64))[1])):
+                for grams, (_, keys) in enumerate(gram_keys(words, np.array(n_words, np.int64), order), 1):
                     unique, counts = np.unique(keys, return_counts=True)
                     bounds = _bucket_bounds(unique, buckets)
                     spans = [(i, a, b) for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
@@ -133,43 +132,42 @@ def gram_counts(blocks: DataFrame, buckets: int) -> DataFrame:
 
 
 def block_scores(words: np.ndarray, n_words: np.ndarray, totals: dict[int, np.ndarray], n_corpus: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Per document the sum of its words' log scores and its number of backoffs.
+    """Per document the sum of its words' log scores and its number of backoff steps.
 
     ``totals`` has, by n-gram length, the corpus counts of the block's sorted
     unique keys."""
-    n_docs = len(n_words)
+    n_docs, order = len(n_words), max(totals)
     owner = np.repeat(np.arange(n_docs), n_words)
-    inside, pairs = _orders(words, n_words)
-    vocabulary, word = np.unique(words, return_inverse=True)
-    bigrams, pair = np.unique(pairs, return_inverse=True)
-    pair_owner = owner[:-1][inside] if len(words) > 1 else owner[:0]
-
-    def others(place: np.ndarray, of: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
-        """Corpus count without the own document's, per occurrence."""
-        _, at, own = np.unique(of * max(1, n) + place, return_inverse=True, return_counts=True)
-        return counts[place] - own[at]
-
-    single = others(word, owner, len(vocabulary), totals[1])
     rest = (n_corpus - n_words)[owner].astype(float)  # words in other documents
     log = lambda x: np.log(np.maximum(x, 1e-300))
-    # a word that no other document has counts like half an occurrence
-    unigram = log(np.where(single > 0, single, 0.5)) - log(np.maximum(rest, 1))
-    value = unigram.copy()
-    backoffs = np.zeros(len(words), np.int64)
-    if len(pairs):
-        seen = others(pair, pair_owner, len(bigrams), totals[2])
-        last = np.flatnonzero(inside) + 1
-        value[last] = np.where(seen > 0, log(seen) - log(single[last - 1]), np.log(alpha) + unigram[last])
-        backoffs[last] = seen <= 0
-    return np.bincount(owner, weights=value, minlength=n_docs).astype(float), np.bincount(owner, weights=backoffs, minlength=n_docs).astype(np.int64)
-
-
-def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    value, level = np.zeros(len(words)), np.ones(len(words), np.int64)
+    context = np.zeros(0)
+    for n, (end, keys) in enumerate(gram_keys(words, n_words, order), 1):
+        unique, place = np.unique(keys, return_inverse=True)
+        _, at, own = np.unique(owner[end] * max(1, len(unique)) + place, return_inverse=True, return_counts=True)
+        others = totals[n][place] - own[at]  # corpus count without the own document's
+        if n == 1:
+            # a word that no other document has counts like half an occurrence
+            value = log(np.where(others > 0, others, 0.5)) - log(np.maximum(rest, 1))
+        else:
+            seen = others > 0
+            value[end[seen]] = log(others[seen]) - log(context[end[seen] - 1])
+            level[end[seen]] = n
+        context = np.zeros(len(words))
+        context[end] = others
+    starts = np.cumsum(n_words) - n_words
+    longest = np.minimum(order, np.arange(len(words)) - np.repeat(starts, n_words) + 1)  # that ends at each word
+    value += (longest - level) * np.log(alpha)
+    return np.bincount(owner, weights=value, minlength=n_docs).astype(float), np.bincount(owner, weights=longest - level, minlength=n_docs).astype(np.int64)
+
+
+def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """(doc_id, n_words, n_backoff, log_score, mean_log_score) per row of ``docs``.
 
-    The first word of a text is scored by its unigram, every other one by its
-    bigram or, where no other document has that, ``alpha`` times its unigram; a
-    word of no other document counts half an occurrence.  Every row is a document
+    A word is scored by the longest n-gram up to ``order`` that ends there and that
+    some other document has, times ``alpha`` for each step from the longest one that
+    the text allows (``n_backoff`` counts the steps); a word of no other document
+    counts half an occurrence.  Every row is a document
     of its own, so repeated rows are evidence for each other.  Null and empty
     texts have no words and score 0; an empty table gives an empty result.  A word
     is a run of ASCII letters and digits and of non-ASCII characters, lower-cased."""
@@ -177,7 +175,7 @@ def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id
     size = F.aggregate("n_words", F.lit(0).cast("long"), lambda a, n: a + n)
     n_corpus = blocks.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-n_corpus // BUCKET_KEYS))
-    counts = materialise(gram_counts(blocks, buckets), "gram-counts")
+    counts = materialise(gram_counts(blocks, buckets, order), "gram-counts")
     gathered = counts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("grams", "bucket", "totals"))).alias("counts"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +183,7 @@ def score_documents(docs: DataFrame, alpha: float = ALPHA, id_col: str = "doc_id
             for i in range(batch.num_rows):
                 ids, sizes, payload, rows = (batch.column(c)[i].as_py() for c in range(4))
                 n_words = np.array(sizes, np.int64)
-                unpacked = {1: [np.zeros(0, np.int64)], 2: [np.zeros(0, np.int64)]}
+                unpacked = {n: [np.zeros(0, np.int64)] for n in range(1, order + 1)}
                 for x in rows or ():
                     unpacked[x["grams"]].append(np.frombuffer(zstandard.ZstdDecompressor().decompress(x["totals"]), "<i8"))
                 totals = {g: np.concatenate(parts) for g, parts in unpacked.items()}
