@@ -31,7 +31,7 @@ SIMILARITY = 0.8
 CHUNK = 1 << 17  # characters hashed at a time
 BLOCK = 512  # lines of a block of a key's lines
 COLUMNS = 4096  # shingles of a matrix product
-FEW_PAIRS = 64  # up to here pairs are compared one by one
+FEW_PAIRS = 64  # up to here pairs of different parts are compared one by one
 SEEN_LINES = 1 << 20  # line hashes that a task remembers, to post a line once
 
 _RNG = np.random.default_rng(11)
@@ -202,11 +202,14 @@ def joining_pairs(sets: list[np.ndarray], parts: list[int], left: np.ndarray, ri
         parent[root(parts[i])] = root(parts[j])
         found.append((i, j))
 
-    if len(left) * len(right) <= FEW_PAIRS:
-        for i in left.tolist():
-            for j in right.tolist():
-                if root(parts[i]) != root(parts[j]) and reaches(sets[i], sets[j], similarity):
-                    join(i, j)
+    number = np.unique(np.array(parts), return_inverse=True)[1]
+    apart = number[left][:, None] != number[right]
+    if np.array_equal(left, right):
+        apart = np.triu(apart)
+    if np.count_nonzero(apart) <= FEW_PAIRS:
+        for i, j in zip(*(side[at].tolist() for side, at in zip((left, right), np.nonzero(apart), strict=True)), strict=True):
+            if root(parts[i]) != root(parts[j]) and reaches(sets[i], sets[j], similarity):
+                join(i, j)
         return found
     sizes = np.array([len(x) for x in sets])
     codes, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -286,12 +289,13 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     texts = materialise(_line_texts(docs, lines, posted.select("line_id").distinct(), id_col, text_col), "line-texts")
     links = materialise(_links(near, texts, similarity), "links")
     parts = connected_components(links)
-    # what is not yet one component with its representatives meets all lines of the key;
-    # the pairs of three lines have all been compared by then
-    named = posted.join(parts.withColumnRenamed("node", "line_id"), "line_id", "left").select(
+    # pairs with a key's lowest or highest line have all been compared: of the other
+    # lines, those that are not one component meet each other
+    inner = posted.filter("low < line_id AND line_id < high")
+    named = inner.join(parts.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "band", "line_id", F.coalesce("component", "line_id").alias("part"))
-    several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q AND n > 3")
-    open_keys = materialise(named.join(several.select("band", "n"), "band"), "open-keys")
+    several = named.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).filter("p < q")
+    open_keys = materialise(join_dimension(named, several.select("band", "n"), "band"), "open-keys")
     extra = materialise(_links_in_keys(open_keys, texts, similarity), "links")
     parts = _with_links(parts, extra)
     # a line may be on a third of all rows: the joins below keep AQE free to split it
