@@ -18,7 +18,7 @@ from .packing import op10_packing
 from .pii import op6_pii
 from .quality import op9_quality
 from .simhash import op1_simhash
-from .topk import op7_topk
+from .topk import OP7_SQL, op7_topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
@@ -36,4 +36,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_manifest": op13_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op12_clusters": op12_sql(), "op13_manifest": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_topk": OP7_SQL, "op12_clusters": op12_sql(), "op13_manifest": OP13_SQL}

@@ -218,3 +218,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, query_block: in
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return top_k(vectors.filter("vec_id % 50 = 0"), vectors)
+
+
+OP7_SQL = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS query_id, a.q, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS score
+  FROM (SELECT DISTINCT vec_id, q FROM v WHERE vec_id % 50 = 0) a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, q ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE place <= 5"""
