@@ -55,6 +55,7 @@ def _shingle_hashes(chars: np.ndarray) -> np.ndarray:
 
 
 def _chunk_minima(lines: list[str]) -> np.ndarray:
+    """(hash functions, lines) minima."""
     lengths = np.array([len(x) for x in lines])
     chars = np.frombuffer(("".join(lines) + "\0" * SHINGLE).encode("utf-32-le", "replace"), "<u4")
     starts = np.cumsum(lengths) - lengths
@@ -63,12 +64,12 @@ def _chunk_minima(lines: list[str]) -> np.ndarray:
         h[starts[i]] = xxhash.xxh32_intdigest(lines[i].encode("utf-8", "replace"))
     ends = starts + np.maximum(1, lengths - SHINGLE + 1)
     bounds = np.stack([starts, ends], axis=1).ravel()  # of each line's shingles, and of the gap behind them
-    minima = np.empty((len(lines), len(_SCALE)), np.uint32)
+    minima = np.empty((len(_SCALE), len(lines)), np.uint32)
     y = np.empty_like(h)
     for j in range(len(_SCALE)):
         np.multiply(h, _SCALE[j], out=y)
         y += _SHIFT[j]
-        minima[:, j] = np.minimum.reduceat(y, bounds)[::2]
+        minima[j] = np.minimum.reduceat(y, bounds)[::2]
     return minima
 
 
@@ -77,15 +78,20 @@ def band_keys(lines: list[str]) -> np.ndarray:
     a line shorter than a shingle is one shingle."""
     keys = np.zeros((len(lines), BANDS), np.uint64)
     for cut in slices(lines, CHUNK):
-        minima = _chunk_minima(lines[cut]).astype(np.uint64)
-        for band in range(BANDS):
-            h = np.full(len(minima), band + 1, np.uint64)
-            for j in range(band * ROWS, (band + 1) * ROWS):
-                h = mixed(h * np.uint64(31) + minima[:, j])
-            keys[cut, band] = h
+        minima = _chunk_minima(lines[cut]).astype(np.uint64).reshape(BANDS, ROWS, -1)
+        h = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], minima.shape[2], axis=1)
+        for j in range(ROWS):
+            h = mixed(h * np.uint64(31) + minima[:, j])
+        keys[cut] = h.T
     return keys.view(np.int64)
 
 
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """The sorted distinct codes; for arrays as short as a line's far quicker than np.unique."""
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])]
+
+
 def shingle_codes(lines: list[str]) -> list[np.ndarray]:
     """The set of a line's character shingles, as sorted 64-bit codes; a line
     shorter than a shingle is one shingle."""
@@ -103,7 +109,7 @@ def shingle_codes(lines: list[str]) -> list[np.ndarray]:
             if len(line) < SHINGLE:
                 found.append(np.array([xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace"))], np.uint64))
             else:
-                found.append(np.unique(h[at : at + len(line) - SHINGLE + 1]))
+                found.append(_distinct(h[at : at + len(line) - SHINGLE + 1]))
             at += len(line)
     return found
 
